@@ -103,6 +103,13 @@ def ratios(composition: Column) -> Column:
     return F.transform(amounts, lambda n: n / total)
 
 
+def ratios_of_map(amounts: Column) -> Column:
+    """Fraction of each element of an element -> amount map, alphabetically."""
+    values = F.transform(F.array_sort(F.map_entries(amounts)), lambda e: e["value"])
+    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+    return F.transform(values, lambda v: v / total)
+
+
 def element_names(composition: Column) -> Column:
     return F.transform(composition, lambda e: e["element"])
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crystalflow import schema as S
 from crystalflow.operators import segments as seg
@@ -56,11 +56,16 @@ def convergence_filter(
     forces: str | None = "forces",
     max_above_last: float | None = S.MAX_FRAME_ENERGY_ABOVE_LAST,
     keep_final: bool = False,
+    bounded: bool = False,
 ) -> DataFrame:
     """Frames at most ``max_above_last`` eV/atom above the trajectory's last one.
 
     Frames without energy or forces are ignored altogether. The last frame
     itself is the yardstick and, unless ``keep_final``, not part of the result.
+
+    The last frame is found by a partial aggregate and joined back. ``bounded``
+    says that a trajectory fits a task (it came from one document); a window
+    then saves the join.
     """
     usable = F.col(energy).isNotNull()
     if forces is not None:
@@ -68,10 +73,13 @@ def convergence_filter(
     frames = df.where(usable)
     key = _struct(order)
     per_site = F.col(energy) / F.col(nsites)
-    last = frames.groupBy(*keys).agg(
-        F.max_by(per_site, key).alias("_last_energy"), F.max(key).alias("_last_key")
-    )
-    joined = frames.join(last, list(keys))
+    last_of = {"_last_energy": F.max_by(per_site, key), "_last_key": F.max(key)}
+    if bounded:
+        whole = Window.partitionBy(*keys)
+        joined = frames.withColumns({name: agg.over(whole) for name, agg in last_of.items()})
+    else:
+        last = frames.groupBy(*keys).agg(*[agg.alias(name) for name, agg in last_of.items()])
+        joined = frames.join(last, list(keys))
     kept = F.lit(True) if keep_final else key < F.col("_last_key")
     if max_above_last is not None:
         kept = kept & (per_site - F.col("_last_energy") <= max_above_last)

@@ -201,14 +201,18 @@ def classify(
     df: DataFrame,
     frames: bool = False,
     families: Sequence[str] | None = None,
+    extra: Sequence[Rule] = (),
 ) -> DataFrame:
-    """Normalise and add ``reasons``; ``families`` restricts the rules used."""
+    """Normalise and add ``reasons``.
+
+    ``families`` restricts the rules used, ``extra`` adds source-specific ones.
+    """
     chosen = [
         r
         for r in rules()
         if (r.frames if frames else r.structures) and (families is None or r.family in families)
     ]
-    return normalise(df).withColumn(REASONS, reasons(chosen))
+    return normalise(df).withColumn(REASONS, reasons([*chosen, *extra]))
 
 
 def widen_to_document(df: DataFrame, document: Sequence[str]) -> DataFrame:

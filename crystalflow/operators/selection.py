@@ -68,14 +68,16 @@ def task_order(
     """Sort key of the preferred task, best first, as ascending columns.
 
     Static first, then the sum of the LASPH flag and the ISPIN number (null
-    parameters count 0), then energy per site. With ``label``, GGA+U goes
+    parameters count 0), then energy per site, unknown last. With ``label``, GGA+U goes
     before GGA whatever the rest says.
     """
     score = F.coalesce(F.col(lasph).cast("int"), F.lit(0)) + F.coalesce(F.col(ispin).cast("int"), F.lit(0))
+    per_site = F.col(energy) / F.col(nsites)
     order = [
         (F.col(task_type) != S.STATIC).cast("int"),
         -score,
-        F.col(energy) / F.col(nsites),
+        per_site.isNull().cast("int"),
+        per_site,
     ]
     if label is not None:
         order.insert(0, (text.label_prefix(F.col(label)) != "GGA+U").cast("int"))
@@ -156,6 +158,25 @@ def drop_unconverged(
     return drop_groups_where(df, keys, (F.count(F.lit(1)) > 1) & ~last)
 
 
+def join_roles(
+    calculations: DataFrame,
+    structures: DataFrame,
+    key: str = "id",
+    first: str = "input_id",
+    second: str = "output_id",
+) -> DataFrame:
+    """Calculations with the structures they start from and end at.
+
+    Structure columns come back prefixed ``input_`` and ``output_``.
+    """
+
+    def role(prefix: str, on: str) -> DataFrame:
+        others = [F.col(c).alias(f"{prefix}_{c}") for c in structures.columns if c != key]
+        return structures.select(F.col(key).alias(on), *others)
+
+    return calculations.join(role("input", first), first).join(role("output", second), second)
+
+
 def used_all_steps(electronic_steps: Column, nelm: Column) -> Column:
     """True when the electronic loop stopped at its limit; a null limit never does."""
     return F.coalesce(electronic_steps == nelm, F.lit(False))
