@@ -10,7 +10,6 @@ from crystalflow import schema as S
 from crystalflow.operators import export as ex, ledger, quality, selection, upsert
 from crystalflow.plans import dump, materials, vendor
 from crystalflow.sources import documents, listing
-from crystalflow.streaming.ingest import newest_document_first
 
 StructureJob = Callable[..., DataFrame]
 TrajectoryJob = Callable[..., tuple[DataFrame, DataFrame]]
@@ -69,11 +68,12 @@ def ingest(
     objects = listing.data_files(listing.list_objects(spark, path))
     version = ledger.read_version(spark, ledger_path, dataset)
     due = listing.oldest_first(listing.modified_since(objects, version), offset)
-    # file names only: the listing is metadata, a few hundred bytes per file
+    # file names only, which Spark's own file index keeps on the driver as well
     paths = [r["path"] for r in due.select("path", "file_no").orderBy("file_no").toLocalIterator()]
     if paths:
         good, _ = documents.read_documents(spark, paths)
-        upsert.write_upsert(good, table_path, "id", newest_document_first(), partition_by)
+        newest = documents.latest_documents(good)
+        upsert.write_upsert(newest, table_path, partition_by=partition_by)
     fresh = ledger.new_version(objects).first()["version"]
     ledger.write_version(spark, ledger_path, dataset, fresh)
     return fresh

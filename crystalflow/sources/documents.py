@@ -13,14 +13,33 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, text
+from crystalflow.operators.selection import best_per_group
 
 MATERIAL = "mp-material"
 TASK = "mp-task"
 
 
+#: where a line came from; later files and lines replace earlier ones
+ORIGIN = ["file_modified", "file_path", "line_no"]
+
+
+def with_origin(lines: DataFrame) -> DataFrame:
+    """Lines with the file and position they came from.
+
+    A compressed file is read by one task, so the increasing id follows its
+    line order.
+    """
+    return lines.select(
+        "value",
+        F.col("_metadata.file_modification_time").alias("file_modified"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.monotonically_increasing_id().alias("line_no"),
+    )
+
+
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of (compressed) JSON-lines files."""
-    return spark.read.text(paths if isinstance(paths, str) else list(paths))
+    """Lines of (compressed) JSON-lines files, with their origin."""
+    return with_origin(spark.read.text(paths if isinstance(paths, str) else list(paths)))
 
 
 def route(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -29,8 +48,9 @@ def route(lines: DataFrame, column: str = "value") -> DataFrame:
     A document with a ``material_id`` is a material, any other a task. Lines
     that are not JSON, or lack their key, have ``parsed`` false.
     """
+    origin = [c for c in ORIGIN if c in lines.columns]
     doc = lines.select(
-        F.col(column).alias("attributes"), F.try_parse_json(F.col(column)).alias("_doc")
+        *origin, F.col(column).alias("attributes"), F.try_parse_json(F.col(column)).alias("_doc")
     )
 
     def field(path: str, dtype: str) -> Column:
@@ -44,18 +64,25 @@ def route(lines: DataFrame, column: str = "value") -> DataFrame:
         F.when(is_material, F.lit(MATERIAL)).otherwise(F.lit(TASK)).alias("type"),
         "attributes",
         F.try_to_timestamp(field("$.last_updated['$date']", "string")).alias("last_modified"),
+        *origin,
     )
     return routed.withColumn("parsed", F.col("id").isNotNull())
 
 
 def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Good raw rows, and the lines that could not be used."""
+    """Good raw rows with their origin, and the lines that could not be used."""
     routed = route(read_lines(spark, paths))
     good = routed.where("parsed").drop("parsed")
-    bad = routed.where("NOT parsed").select(F.col("attributes").alias("value"))
+    bad = routed.where("NOT parsed").select(F.col("attributes").alias("value"), "file_path")
     return good, bad
 
 
+def latest_documents(documents: DataFrame) -> DataFrame:
+    """One raw row per id: the one that came last."""
+    newest = [F.col(c).desc() for c in ORIGIN]
+    return best_per_group(documents, ["id"], newest).select(*S.RAW.fieldNames())
+
+
 def typed(raw: DataFrame, dtype, name: str = "doc") -> DataFrame:
     """Parse ``attributes`` into ``dtype``."""
     return raw.withColumn(name, F.from_json("attributes", dtype))

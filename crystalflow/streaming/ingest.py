@@ -4,18 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crystalflow.operators.upsert import write_upsert
 from crystalflow.sources import documents
 
 
-def newest_document_first() -> list[Column]:
-    """Order in which documents of one key compete: latest, then by content."""
-    return [F.col("last_modified").desc_nulls_last(), F.col("attributes").desc()]
-
-
 def ingest_new_files(
     spark: SparkSession,
     path: str,
@@ -32,11 +27,16 @@ def ingest_new_files(
     reader = spark.readStream.format("text")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.load(path)
+    lines = reader.load(path).select(
+        "value",
+        F.col("_metadata.file_modification_time").alias("file_modified"),
+        F.col("_metadata.file_path").alias("file_path"),
+    )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        good = documents.route(batch).where("parsed").drop("parsed")
-        write_upsert(good, table_path, "id", newest_document_first(), partition_by)
+        numbered = batch.withColumn("line_no", F.monotonically_increasing_id())
+        good = documents.route(numbered).where("parsed")
+        write_upsert(documents.latest_documents(good), table_path, partition_by=partition_by)
 
     return (
         lines.writeStream.foreachBatch(store)
