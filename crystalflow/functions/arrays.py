@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row.
+
+    An expression named twice is evaluated twice, and inside a lambda once per
+    element. Passing it through a one-element array binds it.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def null_if_any_null(values: Column) -> Column:
     """The array, or null when one of its elements is null."""
     return F.when(F.forall(values, lambda v: v.isNotNull()), values)
@@ -31,17 +42,17 @@ def matrix_nan_to_null(rows: Column) -> Column:
 def frac_to_cart(points: Column, lattice: Column) -> Column:
     """Fractional coordinates times the lattice (rows are lattice vectors)."""
 
-    def cartesian(p: Column) -> Column:
+    def cartesian(p: Column, rows: Column) -> Column:
         return F.array(
             *[
-                F.get(p, F.lit(0)) * F.get(F.get(lattice, F.lit(0)), F.lit(axis))
-                + F.get(p, F.lit(1)) * F.get(F.get(lattice, F.lit(1)), F.lit(axis))
-                + F.get(p, F.lit(2)) * F.get(F.get(lattice, F.lit(2)), F.lit(axis))
+                F.get(p, F.lit(0)) * F.get(F.get(rows, F.lit(0)), F.lit(axis))
+                + F.get(p, F.lit(1)) * F.get(F.get(rows, F.lit(1)), F.lit(axis))
+                + F.get(p, F.lit(2)) * F.get(F.get(rows, F.lit(2)), F.lit(axis))
                 for axis in range(3)
             ]
         )
 
-    return F.transform(points, cartesian)
+    return let(lattice, lambda rows: F.transform(points, lambda p: cartesian(p, rows)))
 
 
 def voigt_to_matrix(xx: Column, yy: Column, zz: Column, yz: Column, xz: Column, xy: Column) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from crystalflow import schema as S
+from crystalflow.functions.arrays import let
 
 _TOKEN = r"([A-Z][a-z]?)([0-9]*)"
 
@@ -23,10 +24,15 @@ def _amounts(composition: Column) -> Column:
 
 def composition_of_sites(species_at_sites: Column) -> Column:
     """Count the atoms of each element of a site list."""
-    elements = F.array_sort(F.array_distinct(species_at_sites))
-    return F.transform(
-        elements,
-        lambda el: _entry(el, F.size(F.filter(species_at_sites, lambda s: s == el))),
+    return _counted(species_at_sites, lambda sites: F.array_sort(F.array_distinct(sites)))
+
+
+def _counted(species_at_sites: Column, elements_of) -> Column:
+    return let(
+        species_at_sites,
+        lambda sites: F.transform(
+            elements_of(sites), lambda el: _entry(el, F.size(F.filter(sites, lambda s: s == el)))
+        ),
     )
 
 
@@ -40,32 +46,33 @@ def composition_of_formula(formula: Column) -> Column:
     """Parse a formula such as ``Al2 O3``; an element named twice is summed."""
     symbols = F.regexp_extract_all(formula, F.lit(_TOKEN), F.lit(1))
     numbers = F.regexp_extract_all(formula, F.lit(_TOKEN), F.lit(2))
-    pairs = F.zip_with(
-        symbols,
-        numbers,
-        lambda s, n: _entry(s, F.when(n == "", F.lit("1")).otherwise(n)),
+    terms = F.zip_with(
+        symbols, numbers, lambda s, n: _entry(s, F.when(n == "", F.lit("1")).otherwise(n))
     )
-    return F.transform(
-        F.array_sort(F.array_distinct(symbols)),
-        lambda el: _entry(
-            el,
-            F.aggregate(
-                F.filter(pairs, lambda p: p["element"] == el),
-                F.lit(0).cast("bigint"),
-                lambda acc, p: acc + p["n"],
-            ),
+
+    def total(pairs: Column, el: Column) -> Column:
+        own = F.filter(pairs, lambda p: p["element"] == el)
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda acc, p: acc + p["n"])
+
+    return let(
+        terms,
+        lambda pairs: F.transform(
+            F.array_sort(F.array_distinct(element_names(pairs))),
+            lambda el: _entry(el, total(pairs, el)),
         ),
     )
 
 
 def common_divisor(composition: Column) -> Column:
     """Greatest common divisor of the amounts."""
-    amounts = _amounts(composition)
-    return F.array_max(
-        F.filter(
-            F.sequence(F.lit(1).cast("bigint"), F.array_min(amounts)),
-            lambda d: F.forall(amounts, lambda n: n % d == 0),
-        )
+    return let(
+        _amounts(composition),
+        lambda amounts: F.array_max(
+            F.filter(
+                F.sequence(F.lit(1).cast("bigint"), F.array_min(amounts)),
+                lambda d: F.forall(amounts, lambda n: n % d == 0),
+            )
+        ),
     )
 
 
@@ -75,15 +82,23 @@ def reduced(composition: Column, keep_doubled: bool = True) -> Column:
     With ``keep_doubled`` the conventional exceptions (H2, N2, ..., Li2O2) keep
     a factor of two.
     """
-    divisor = common_divisor(composition)
-    smallest = F.transform(composition, lambda e: _entry(e["element"], e["n"] / divisor))
-    if not keep_doubled:
-        return smallest
+
+    def divide(whole: Column) -> Column:
+        return let(
+            common_divisor(whole),
+            lambda divisor: F.transform(whole, lambda e: _entry(e["element"], e["n"] / divisor)),
+        )
+
+    def redouble(smallest: Column) -> Column:
+        unit = F.forall(smallest, lambda e: e["n"] == 1)
+        doubled = F.transform(smallest, lambda e: _entry(e["element"], e["n"] * 2))
+        return F.when(unit & F.array_join(element_names(smallest), "").isin(keys), doubled).otherwise(
+            smallest
+        )
+
     keys = sorted("".join(sorted(_split_symbols(f))) for f in S.DOUBLED_FORMULAS)
-    unit = F.forall(smallest, lambda e: e["n"] == 1)
-    key = F.array_join(F.transform(smallest, lambda e: e["element"]), "")
-    factor = F.when(unit & key.isin(keys), F.lit(2)).otherwise(F.lit(1))
-    return F.transform(smallest, lambda e: _entry(e["element"], e["n"] * factor))
+    smallest = let(composition, divide)
+    return let(smallest, redouble) if keep_doubled else smallest
 
 
 def _split_symbols(formula: str) -> list[str]:
@@ -98,16 +113,20 @@ def _split_symbols(formula: str) -> list[str]:
 
 def ratios(composition: Column) -> Column:
     """Fraction of each element, in composition order."""
-    amounts = _amounts(composition)
-    total = F.aggregate(amounts, F.lit(0).cast("bigint"), lambda acc, n: acc + n)
-    return F.transform(amounts, lambda n: n / total)
+    return _shares(_amounts(composition))
 
 
 def ratios_of_map(amounts: Column) -> Column:
     """Fraction of each element of an element -> amount map, alphabetically."""
-    values = F.transform(F.array_sort(F.map_entries(amounts)), lambda e: e["value"])
-    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-    return F.transform(values, lambda v: v / total)
+    return _shares(F.transform(F.array_sort(F.map_entries(amounts)), lambda e: e["value"]))
+
+
+def _shares(amounts: Column) -> Column:
+    def divide(values: Column) -> Column:
+        total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+        return let(total, lambda t: F.transform(values, lambda v: v / t))
+
+    return let(amounts, divide)
 
 
 def element_names(composition: Column) -> Column:
@@ -179,10 +198,7 @@ def descriptive_formula(composition: Column, by_electronegativity: bool = True)
 
 def site_order_composition(species_at_sites: Column) -> Column:
     """Composition in first-appearance order instead of alphabetical."""
-    return F.transform(
-        F.array_distinct(species_at_sites),
-        lambda el: _entry(el, F.size(F.filter(species_at_sites, lambda s: s == el))),
-    )
+    return _counted(species_at_sites, F.array_distinct)
 
 
 def reduced_formula_of_text(formula: Column) -> Column:

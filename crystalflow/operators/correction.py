@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crystalflow import schema as S
+from crystalflow.functions.arrays import let
 
 
 def coefficients_from(table: DataFrame, value: str = "coefficient") -> dict[str, float]:
@@ -47,6 +48,20 @@ def corrected_energy(
     * O or F present: the transition metals treated with a Hubbard U use
       ``hubbard_coefficients``
     """
+    return let(
+        composition,
+        lambda c: _corrected(energy, functional, source, c, coefficients, hubbard_coefficients or {}),
+    )
+
+
+def _corrected(
+    energy: Column,
+    functional: Column,
+    source: Column,
+    composition: Column,
+    coefficients: Mapping[str, float],
+    hubbard_coefficients: Mapping[str, float],
+) -> Column:
     elements = F.transform(composition, lambda e: e["element"])
     base = F.aggregate(
         composition,
@@ -59,7 +74,7 @@ def corrected_energy(
         lambda acc, e: acc
         + e["n"]
         * F.when(
-            e["element"].isin(S.HUBBARD_ELEMENTS), _lookup(hubbard_coefficients or {}, e["element"])
+            e["element"].isin(S.HUBBARD_ELEMENTS), _lookup(hubbard_coefficients, e["element"])
         ).otherwise(_lookup(coefficients, e["element"])),
     )
     return (

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem
@@ -50,14 +51,15 @@ def three_by_three(matrix: Column) -> Column:
 
 
 def ratios_sum_to_one(ratios: Column) -> Column:
-    total = arrays.array_sum(ratios)
-    slack = F.greatest(S.RATIO_REL_TOL * F.greatest(F.abs(total), F.lit(1.0)), F.lit(S.RATIO_ABS_TOL))
-    return F.abs(total - 1.0) <= slack
+    def close(total: Column) -> Column:
+        larger = F.greatest(F.abs(total), F.lit(1.0))
+        return F.abs(total - 1.0) <= F.greatest(S.RATIO_REL_TOL * larger, F.lit(S.RATIO_ABS_TOL))
+
+    return arrays.let(arrays.array_sum(ratios), close)
 
 
 def valid_symbols(symbols: Column) -> Column:
-    known = F.array(*[F.lit(e) for e in S.ELEMENT_SYMBOLS])
-    return F.size(F.array_except(symbols, known)) == 0
+    return F.forall(symbols, lambda s: F.coalesce(s.isin(S.ELEMENT_SYMBOLS), F.lit(False)))
 
 
 def alphabetical(elements: Column) -> Column:
@@ -212,19 +214,30 @@ def classify(
         for r in rules()
         if (r.frames if frames else r.structures) and (families is None or r.family in families)
     ]
-    return normalise(df).withColumn(REASONS, reasons([*chosen, *extra]))
+    judged = normalise(df).withColumn(REASONS, reasons([*chosen, *extra]))
+    # The counts also keep filters on ``reasons`` above this point. Pushed below,
+    # such a filter would repeat the work of every column the rules look at.
+    bad = F.count(F.when(F.size(REASONS) > 0, 1))
+    return judged.observe(f"quality_{uuid4().hex}", F.count(F.lit(1)).alias("rows"), bad.alias("rejected"))
 
 
-def widen_to_document(df: DataFrame, document: Sequence[str]) -> DataFrame:
+def widen_to_document(df: DataFrame, document: Sequence[str], bounded: bool = False) -> DataFrame:
     """Reject all outputs of a source document when one of them is bad.
 
-    Rows that were good themselves get the reason ``document_rejected``. Only
-    the keys of bad documents are joined back.
+    Rows that were good themselves get the reason ``document_rejected``. The
+    keys of bad documents are joined back, which computes ``df`` twice but
+    holds for documents of any size. ``bounded`` says that a document's rows
+    fit a task, as when one input row produced them; a window then does it in
+    one pass, without an exchange where rows are partitioned by document.
     """
-    bad = df.where(F.size(REASONS) > 0).select(*document).distinct().withColumn("_bad", F.lit(True))
-    joined = df.join(bad, list(document), "left")
+    if bounded:
+        whole = Window.partitionBy(*document)
+        marked = df.withColumn("_bad", F.max(F.when(F.size(REASONS) > 0, True)).over(whole))
+    else:
+        bad = df.where(F.size(REASONS) > 0).select(*document).distinct()
+        marked = df.join(bad.withColumn("_bad", F.lit(True)), list(document), "left")
     spoilt = F.col("_bad").isNotNull() & (F.size(REASONS) == 0)
-    return joined.withColumn(
+    return marked.withColumn(
         REASONS, F.when(spoilt, F.array(F.lit("document_rejected"))).otherwise(F.col(REASONS))
     ).drop("_bad")
 

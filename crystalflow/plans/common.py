@@ -43,10 +43,15 @@ def geometry(structure: Column) -> dict[str, Column]:
     }
 
 
-def chemistry_of_sites(species_at_sites: Column) -> dict[str, Column]:
-    """Composition columns derived from the site list."""
-    composition = chem.composition_of_sites(species_at_sites)
-    reduced = chem.reduced(composition)
+def with_compositions(df: DataFrame, species_at_sites: Column) -> DataFrame:
+    """Add the composition of the sites, plain and reduced, for ``chemistry_of_sites``."""
+    counted = df.withColumn("_composition", chem.composition_of_sites(species_at_sites))
+    return counted.withColumn("_reduced", chem.reduced(F.col("_composition")))
+
+
+def chemistry_of_sites() -> dict[str, Column]:
+    """Composition columns derived from what ``with_compositions`` added."""
+    composition, reduced = F.col("_composition"), F.col("_reduced")
     elements = chem.element_names(composition)
     return {
         "elements": elements,
@@ -106,9 +111,12 @@ def own_correction(df: DataFrame, coefficients: Coefficients | None) -> DataFram
 def structures_checked(
     df: DataFrame, document: list[str] | None, extra: list[quality.Rule] | None = None
 ) -> DataFrame:
-    """Classified structures; ``document`` names the key whose rows fall together."""
+    """Classified structures; ``document`` names the key whose rows fall together.
+
+    A document yields at most one row per functional, so the group is bounded.
+    """
     classified = quality.classify(df, extra=extra or [])
-    return quality.widen_to_document(classified, document) if document else classified
+    return quality.widen_to_document(classified, document, bounded=True) if document else classified
 
 
 FRAME_COLUMNS = [f.name for f in S.FRAME.fields]

@@ -98,7 +98,7 @@ def curate_structures(
             "left",
         )
     )
-    derived = common.chemistry_of_sites(F.col("species_at_sites"))
+    derived = common.chemistry_of_sites()
     identity = F.concat(F.lit("oqmd-"), F.col("id").cast("string"))
     columns = {
         **derived,
@@ -114,7 +114,9 @@ def curate_structures(
         "cross_compatibility": text.spin_polarised(F.col("settings"))
         & F.coalesce(chem.cross_compatible(derived["elements"], SOURCE), F.lit(False)),
     }
-    rows = common.fill(joined, columns, S.STRUCTURE)
+    rows = common.fill(
+        common.with_compositions(joined, F.col("species_at_sites")), columns, S.STRUCTURE
+    )
     return common.structures_checked(common.own_correction(rows, coefficients), document=None)
 
 
@@ -180,7 +182,7 @@ def curate_trajectories(
         wanted.drop("entry_id").withColumnRenamed("id", "structure_id"), "structure_id", "left"
     ).join(site_arrays(atoms, wanted), "structure_id", "left")
 
-    derived = common.chemistry_of_sites(F.col("species_at_sites"))
+    derived = common.chemistry_of_sites()
     spin = text.spin_polarised(F.col("settings"))
     allowed = F.coalesce(chem.cross_compatible(derived["elements"], SOURCE), F.lit(False))
     columns = {
@@ -195,8 +197,11 @@ def curate_trajectories(
         "relaxation_number": F.col("relaxation_number"),
         "relaxation_step": F.col("step"),
     }
-    rows = common.fill(joined, columns, S.FRAME, keep=("entry_id", "is_output"))
-    classified = quality.widen_to_document(quality.classify(rows, frames=True), ["entry_id"])
+    composed = common.with_compositions(joined, F.col("species_at_sites"))
+    rows = common.fill(composed, columns, S.FRAME, keep=("entry_id", "is_output"))
+    classified = quality.widen_to_document(
+        quality.classify(rows, frames=True), ["entry_id"], bounded=True
+    )
     own = common.own_correction(quality.accepted(classified), coefficients)
     order = ["relaxation_number", "is_output"]
     corrected = frames.carry_correction(

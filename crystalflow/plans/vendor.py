@@ -100,9 +100,11 @@ def curate_trajectories(
     )
     functional = F.lower("calc.functional")
     shape = common.geometry(F.col("step.structure"))
-    placed = steps.withColumn("frame_no", earlier + F.col("step_pos"))
+    placed = common.with_compositions(
+        steps.withColumn("frame_no", earlier + F.col("step_pos")), shape["species_at_sites"]
+    )
     columns = {
-        **common.chemistry_of_sites(shape["species_at_sites"]),
+        **common.chemistry_of_sites(),
         **common.periodicity(),
         **shape,
         "id": F.concat_ws("-", F.col("document_id"), functional, F.col("frame_no").cast("string")),
@@ -118,7 +120,9 @@ def curate_trajectories(
         "relaxation_step": F.col("frame_no"),
     }
     rows = common.fill(placed, columns, S.FRAME)
-    classified = quality.widen_to_document(quality.classify(rows, frames=True), ["immutable_id"])
+    classified = quality.widen_to_document(
+        quality.classify(rows, frames=True), ["immutable_id"], bounded=True
+    )
     own = common.own_correction(quality.accepted(classified), coefficients)
     corrected = frames.carry_correction(own, ["immutable_id"], ["relaxation_step"], segments=1)
     converged = frames.convergence_filter(

@@ -119,7 +119,7 @@ def read_keyed_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     file is one row until it is exploded, so files must stay under 2 GB; use
     :func:`read_keyed_json_streaming` for larger ones.
     """
-    files = spark.read.option("wholetext", True).text(paths if isinstance(paths, str) else list(paths))
+    files = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
     rows = files.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("last_modified"),

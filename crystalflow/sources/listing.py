@@ -79,10 +79,8 @@ def latest_dump(links: DataFrame, url: str = "url") -> DataFrame:
 
 
 def dump_updated(page: Column, version: Column, default: Column | None = None) -> Column:
-    """Update date a page states for release ``vX.Y``; ``default`` (today) otherwise."""
-    after = F.substring_index(page, F.concat(F.lit(" "), version), -1)
-    named = F.when(
-        F.contains(page, F.concat(F.lit(" "), version)),
-        text.month_year(F.regexp_extract(after, r"(?s)^.*?Database updated on:\s*([^\n]+)", 1)),
-    )
-    return F.coalesce(named, F.current_date() if default is None else default)
+    """Update date a page states after ``<blank><version>``; ``default`` (today) otherwise."""
+    at = F.instr(page, F.concat(F.lit(" "), version))
+    after = F.when(at > 0, F.substring(page, at, F.length(page)))
+    stated = F.regexp_extract(after, r"(?s)^.*?Database updated on:\s*([^\n]+)", 1)
+    return F.coalesce(text.month_year(stated), F.current_date() if default is None else default)
