@@ -23,7 +23,7 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
-_MODULES = ["selecting", "framing", "chemistry", "reading", "syncing", "exporting", "checking"]
+_MODULES = ["selecting", "framing", "chemistry", "reading", "syncing", "exporting", "checking", "curating"]
 
 
 def query(sql: str | None = None):
