@@ -8,10 +8,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from crystalflow import schema as S
 from crystalflow.operators import segments as seg
+from crystalflow.operators.skew import join_per_key
 
 
-def _struct(names: Sequence[str | Column]) -> Column:
-    return F.struct(*[(F.col(n) if isinstance(n, str) else n).alias(f"o{i}") for i, n in enumerate(names)])
+def _key(names: Sequence[str | Column]) -> Column:
+    """One comparable value: a lone column stays plain, which aggregates faster."""
+    columns = [F.col(n) if isinstance(n, str) else n for n in names]
+    if len(columns) == 1:
+        return columns[0]
+    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(columns)])
 
 
 def number_frames(
@@ -40,11 +45,18 @@ def cumulative_steps(
 
 
 def last_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str, name: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    value: str,
+    name: str,
+    bounded: bool = False,
 ) -> DataFrame:
     """Add the value of the group's last row to all its rows."""
-    last = df.groupBy(*keys).agg(F.max_by(value, _struct(order)).alias(name))
-    return df.join(last, list(keys))
+    if bounded:
+        return df.withColumn(name, F.max_by(value, _key(order)).over(Window.partitionBy(*keys)))
+    last = df.groupBy(*keys).agg(F.max_by(value, _key(order)).alias(name))
+    return join_per_key(df, last, keys)
 
 
 def convergence_filter(
@@ -71,7 +83,7 @@ def convergence_filter(
     if forces is not None:
         usable = usable & F.col(forces).isNotNull()
     frames = df.where(usable)
-    key = _struct(order)
+    key = _key(order)
     per_site = F.col(energy) / F.col(nsites)
     last_of = {"_last_energy": F.max_by(per_site, key), "_last_key": F.max(key)}
     if bounded:
@@ -79,7 +91,7 @@ def convergence_filter(
         joined = frames.withColumns({name: agg.over(whole) for name, agg in last_of.items()})
     else:
         last = frames.groupBy(*keys).agg(*[agg.alias(name) for name, agg in last_of.items()])
-        joined = frames.join(last, list(keys))
+        joined = join_per_key(frames, last, keys)
     kept = F.lit(True) if keep_final else key < F.col("_last_key")
     if max_above_last is not None:
         kept = kept & (per_site - F.col("_last_energy") <= max_above_last)
@@ -101,12 +113,15 @@ def close_to_primary(
     a missing or energy-less end, is dropped.
     """
     ends = df.groupBy(*keys, number).agg(
-        F.max_by(F.col(energy) / F.col(nsites), _struct(order)).alias("_end")
+        F.max_by(F.col(energy) / F.col(nsites), _key(order)).alias("_end")
     )
-    primary = ends.where(F.col(number) == 0).select(*keys, F.col("_end").alias("_primary"))
+    # picked by an aggregate, not a filter: both uses of ``ends`` stay the same
+    # plan, so its exchange is computed once
+    is_primary = F.col(number) == 0
+    primary = ends.groupBy(*keys).agg(F.max(F.when(is_primary, F.col("_end"))).alias("_primary"))
     close = (
         ends.join(primary, list(keys))
-        .where((F.col(number) == 0) | (F.abs(F.col("_end") - F.col("_primary")) <= tolerance))
+        .where(is_primary | (F.abs(F.col("_end") - F.col("_primary")) <= tolerance))
         .select(*keys, number)
     )
     return df.join(close, [*keys, number], "left_semi")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem
+from crystalflow.operators.skew import join_per_key
 
 REASONS = "reasons"
 
@@ -235,7 +236,7 @@ def widen_to_document(df: DataFrame, document: Sequence[str], bounded: bool = Fa
         marked = df.withColumn("_bad", F.max(F.when(F.size(REASONS) > 0, True)).over(whole))
     else:
         bad = df.where(F.size(REASONS) > 0).select(*document).distinct()
-        marked = df.join(bad.withColumn("_bad", F.lit(True)), list(document), "left")
+        marked = join_per_key(df, bad.withColumn("_bad", F.lit(True)), document, "left")
     spoilt = F.col("_bad").isNotNull() & (F.size(REASONS) == 0)
     return marked.withColumn(
         REASONS, F.when(spoilt, F.array(F.lit("document_rejected"))).otherwise(F.col(REASONS))

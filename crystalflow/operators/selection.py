@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from crystalflow import schema as S
 from crystalflow.functions import text
 from crystalflow.operators import segments as seg
+from crystalflow.operators.skew import join_per_key
 
 
 def explode_task_references(materials: DataFrame, material_id: str = "material_id") -> DataFrame:
@@ -48,7 +49,8 @@ def allowed_or_static(
         return chosen
     # one row per material crosses the join, however many tasks it has
     served = chosen.select(material_id).distinct()
-    fallback = references.where(F.col("task_type") == S.STATIC).join(served, material_id, "left_anti")
+    static = references.where(F.col("task_type") == S.STATIC)
+    fallback = join_per_key(static, served, [material_id], "left_anti")
     return chosen.unionByName(fallback)
 
 
@@ -118,13 +120,13 @@ def drop_groups(df: DataFrame, keys: Sequence[str], bad: Column) -> DataFrame:
     Only the keys of bad groups are shuffled, one per map task and group.
     """
     doomed = df.where(bad).select(*keys).distinct()
-    return df.join(doomed, list(keys), "left_anti")
+    return join_per_key(df, doomed, keys, "left_anti")
 
 
 def drop_groups_where(df: DataFrame, keys: Sequence[str], bad: Column) -> DataFrame:
     """Drop groups whose aggregate condition ``bad`` holds."""
     doomed = df.groupBy(*keys).agg(F.coalesce(bad, F.lit(False)).alias("_bad")).where("_bad").drop("_bad")
-    return df.join(doomed, list(keys), "left_anti")
+    return join_per_key(df, doomed, keys, "left_anti")
 
 
 def drop_duplicate_labels(df: DataFrame, keys: Sequence[str], label: str = "label") -> DataFrame:
@@ -140,7 +142,7 @@ def drop_duplicate_labels(df: DataFrame, keys: Sequence[str], label: str = "labe
         .select(*keys)
         .distinct()
     )
-    return df.join(repeated, list(keys), "left_anti")
+    return join_per_key(df, repeated, keys, "left_anti")
 
 
 def drop_null_references(

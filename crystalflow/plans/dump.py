@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
 from crystalflow.operators import frames, quality, selection
+from crystalflow.operators.skew import join_per_key
 from crystalflow.plans import common
 
 SOURCE = "oqmd"
@@ -43,7 +44,7 @@ def site_arrays(atoms: DataFrame, structures: DataFrame) -> DataFrame:
         "charge",
     )
     grouped = (
-        atoms.join(complete, "structure_id", "left_semi")
+        join_per_key(atoms, complete, ["structure_id"], "left_semi")
         .groupBy("structure_id")
         .agg(F.array_sort(F.collect_list(site)).alias("sites"))
     )
@@ -89,14 +90,10 @@ def curate_structures(
         static, ["entry_id"], ["label_no", "output_id", "input_id", "energy_pa"]
     ).where(F.col("energy_pa").isNotNull())
     chosen = preferred.select("entry_id", "energy_pa", "band_gap", "settings")
-    joined = (
-        tables["structures"]
-        .join(chosen, "entry_id")
-        .join(
-            site_arrays(tables["atoms"], tables["structures"]),
-            F.col("id") == F.col("structure_id"),
-            "left",
-        )
+    joined = join_per_key(tables["structures"], chosen, ["entry_id"]).join(
+        site_arrays(tables["atoms"], tables["structures"]),
+        F.col("id") == F.col("structure_id"),
+        "left",
     )
     derived = common.chemistry_of_sites()
     identity = F.concat(F.lit("oqmd-"), F.col("id").cast("string"))
@@ -120,25 +117,41 @@ def curate_structures(
     return common.structures_checked(common.own_correction(rows, coefficients), document=None)
 
 
+def faulty_entries(labelled: DataFrame) -> DataFrame:
+    """Entries no trajectory can be made of.
+
+    A label repeats, a structure reference is missing, or several calculations
+    end with one that has not converged. Counted per (entry, label) first, so
+    the second step sees at most one row per label.
+    """
+    missing = F.col("input_id").isNull() | F.col("output_id").isNull()
+    per_label = labelled.groupBy("entry_id", "label_no").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(missing).alias("missing"),
+        F.min(F.coalesce("converged", F.lit(False))).alias("converged"),
+    )
+    last_converged = F.max_by("converged", "label_no")
+    bad = (F.max("n") > 1) | F.max("missing") | ((F.count(F.lit(1)) > 1) & ~last_converged)
+    return per_label.groupBy("entry_id").agg(bad.alias("bad")).where("bad").drop("bad")
+
+
 def relaxations(entries: DataFrame, calculations: DataFrame) -> DataFrame:
     """Usable relaxation calculations, numbered per entry.
 
-    Whole entries go when a label repeats, a structure reference is missing,
-    or several calculations end unconverged. What is left has at most one row
-    per label, so the windows over an entry hold at most three rows.
+    Faulty entries go as a whole. What is left has at most one row per label,
+    so the windows over an entry hold at most three rows.
     """
     labelled = label_calculations(calculations, S.RELAXATION_LABELS).join(
         entries.select(F.col("id").alias("entry_id")), "entry_id", "left_semi"
     )
-    usable = selection.drop_null_references(
-        selection.drop_duplicate_labels(labelled, ["entry_id"]), ["entry_id"]
-    )
-    converged = selection.drop_unconverged(usable, ["entry_id"], ["label_no"])
+    usable = join_per_key(labelled, faulty_entries(labelled), ["entry_id"], "left_anti")
     numbered = selection.rank_in_group(
-        converged, ["entry_id"], ["label_no"], "relaxation_number", segments=1
+        usable, ["entry_id"], ["label_no"], "relaxation_number", segments=1
     )
     stepped = frames.cumulative_steps(numbered, ["entry_id"], ["label_no"], segments=1)
-    return frames.last_value(stepped, ["entry_id"], ["label_no"], "output_id", "last_output_id")
+    return frames.last_value(
+        stepped, ["entry_id"], ["label_no"], "output_id", "last_output_id", bounded=True
+    )
 
 
 def curate_trajectories(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
-from crystalflow.operators import frames, quality, selection
+from crystalflow.operators import frames, quality, scratch, selection
 from crystalflow.plans import common
 from crystalflow.sources import documents
 
@@ -84,15 +84,17 @@ def curate_structures(
         "composition_reduced",
         "formula_anonymous",
         F.col("builder_meta.build_date.$date").alias("build_date"),
-        "structure",
+        # text, so that the structure itself need not travel
+        _descriptive("structure").alias("descriptive"),
     )
     joined = chosen.join(outputs, "task_id").join(facts, "material_id")
     shape = common.geometry(F.col("output.structure"))
     moments = F.transform(F.col("output.structure.sites"), lambda s: s["properties"]["magmom"])
     columns = {
-        **_material_chemistry("structure"),
+        **_document_chemistry(),
         **common.periodicity(),
         **shape,
+        "chemical_formula_descriptive": F.col("descriptive"),
         "id": F.concat_ws("-", "material_id", "functional"),
         "source": F.lit(SOURCE),
         "immutable_id": F.col("material_id"),
@@ -126,9 +128,13 @@ def curate_structures(
     return common.structures_checked(corrected, document, extra).drop("_targets", "_converged")
 
 
-def _material_chemistry(structure: str) -> dict:
+def _descriptive(structure: str) -> Column:
+    composition = chem.site_order_composition(common.site_species(F.col(structure)))
+    return chem.descriptive_formula(composition, by_electronegativity=False)
+
+
+def _document_chemistry() -> dict[str, Column]:
     """Composition columns stated by the document itself."""
-    sites = common.site_species(F.col(structure))
     composition = chem.composition_of_map(F.col("composition_reduced"))
     return {
         "elements": F.col("elements"),
@@ -137,9 +143,6 @@ def _material_chemistry(structure: str) -> dict:
         "species": chem.species(F.col("elements")),
         "chemical_formula_anonymous": F.col("formula_anonymous"),
         "chemical_formula_reduced": chem.reduced_formula(composition),
-        "chemical_formula_descriptive": chem.descriptive_formula(
-            chem.site_order_composition(sites), by_electronegativity=False
-        ),
     }
 
 
@@ -182,9 +185,10 @@ def curate_trajectories(
         ranked.join(documents_, "task_id"), calcs, "output.ionic_steps", payload=["calcs_reversed", "calc"]
     )
     columns = {
-        **_material_chemistry("step.structure"),
+        **_document_chemistry(),
         **common.periodicity(),
         **common.geometry(F.col("step.structure")),
+        "chemical_formula_descriptive": _descriptive("step.structure"),
         # the id is completed once the frame has its number
         "id": F.concat_ws("-", "material_id", "trajectory_number", "functional"),
         "source": F.lit(SOURCE),
@@ -228,5 +232,7 @@ def curate_trajectories(
     converged = frames.convergence_filter(
         corrected, trajectory, ["relaxation_step"], keep_final=keep_final, bounded=True
     )
+    # used twice below: by the trajectory ends and by the frames they select
+    converged = scratch.materialise(converged)
     kept = frames.close_to_primary(converged, ["immutable_id", "functional"], ["relaxation_step"])
     return kept.select(*common.FRAME_COLUMNS), quality.rejected(classified)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from crystalflow import schema as S
-from crystalflow.operators import export as ex, ledger, quality, selection, upsert
+from crystalflow.operators import export as ex, ledger, quality, scratch, selection, upsert
 from crystalflow.plans import dump, materials, vendor
 from crystalflow.sources import documents, listing
 
@@ -41,8 +41,12 @@ def register_source(
 
 
 def curate_structures(source: str, *inputs, **options) -> tuple[DataFrame, DataFrame]:
-    """Good structures of a source, and the rejected rows with their reasons."""
-    classified = _STRUCTURE_JOBS[source](*inputs, **options)
+    """Good structures of a source, and the rejected rows with their reasons.
+
+    The classified rows are written to scratch once, so that storing both
+    parts does not run the job twice.
+    """
+    classified = scratch.materialise(_STRUCTURE_JOBS[source](*inputs, **options))
     return quality.accepted(classified), quality.rejected(classified)
 
 

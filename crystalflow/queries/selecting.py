@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from crystalflow import schema as S
 from crystalflow.functions import text
 from crystalflow.operators import selection
+from crystalflow.operators.skew import join_per_key
 from crystalflow.plans import dump, materials
 from crystalflow.queries import Tables, query, roles
 
@@ -144,12 +145,8 @@ def entry_calcs(t: Tables) -> DataFrame:
     static = dump.label_calculations(roles.calculations(t), S.STATIC_LABELS)
     preferred = selection.best_per_group(static, ["entry_id"], ["label_no", *roles.LINE_ORDER])
     usable = preferred.where(F.col("energy_pa").isNotNull()).select("entry_id", "energy_pa", "nsteps")
-    return (
-        _structures(t)
-        .join(usable, "entry_id")
-        .select(
-            "id", "entry_id", "nsteps", F.round(F.col("energy_pa") * F.col("nsteps"), 6).alias("energy")
-        )
+    return join_per_key(_structures(t), usable, ["entry_id"]).select(
+        "id", "entry_id", "nsteps", F.round(F.col("energy_pa") * F.col("nsteps"), 6).alias("energy")
     )
 
 

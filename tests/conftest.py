@@ -21,6 +21,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         .getOrCreate()
     )
