@@ -18,14 +18,20 @@ def functional_from_text(text: Column, case_sensitive: bool = False) -> Column:
 
 
 def label_prefix(label: Column) -> Column:
-    return F.split_part(label, F.lit(" "), F.lit(1))
+    return F.substring_index(label, " ", 1)
 
 
 def functional_from_label(label: Column, keep_unknown: bool = False) -> Column:
     """Functional of a calculation label such as ``GGA+U Static``."""
-    lookup = F.create_map(*[F.lit(x) for pair in S.LABEL_FUNCTIONALS.items() for x in pair])
-    known = F.try_element_at(lookup, label_prefix(label))
-    return F.coalesce(known, label) if keep_unknown else known
+    # plain comparisons: several times faster than splitting and a map lookup
+    conditions = [
+        ((label == prefix) | label.startswith(prefix + " "), functional)
+        for prefix, functional in S.LABEL_FUNCTIONALS.items()
+    ]
+    known = F.when(*conditions[0])
+    for condition, functional in conditions[1:]:
+        known = known.when(condition, functional)
+    return known.otherwise(label) if keep_unknown else known
 
 
 def spin_polarised(settings: Column) -> Column:

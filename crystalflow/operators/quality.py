@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem
+from crystalflow.operators import scratch
 from crystalflow.operators.skew import join_per_key
 
 REASONS = "reasons"
@@ -226,15 +227,17 @@ def widen_to_document(df: DataFrame, document: Sequence[str], bounded: bool = Fa
     """Reject all outputs of a source document when one of them is bad.
 
     Rows that were good themselves get the reason ``document_rejected``. The
-    keys of bad documents are joined back, which computes ``df`` twice but
-    holds for documents of any size. ``bounded`` says that a document's rows
-    fit a task, as when one input row produced them; a window then does it in
-    one pass, without an exchange where rows are partitioned by document.
+    keys of bad documents are joined back, which holds for documents of any
+    size but reads ``df`` twice, so it is written to scratch first. ``bounded``
+    says that a document's rows fit a task, as when one input row produced
+    them; a window then does it in one pass, without an exchange where rows
+    are partitioned by document.
     """
     if bounded:
         whole = Window.partitionBy(*document)
         marked = df.withColumn("_bad", F.max(F.when(F.size(REASONS) > 0, True)).over(whole))
     else:
+        df = scratch.materialise(df)
         bad = df.where(F.size(REASONS) > 0).select(*document).distinct()
         marked = join_per_key(df, bad.withColumn("_bad", F.lit(True)), document, "left")
     spoilt = F.col("_bad").isNotNull() & (F.size(REASONS) == 0)

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from crystalflow.operators import files
 from crystalflow.operators.selection import best_per_group
 
+_MAX_PARTITIONS = 1000
+
 
 def latest_per_key(batch: DataFrame, key: str, newest_first: Sequence[Column]) -> DataFrame:
     """One row per key: the first in ``newest_first`` order."""
@@ -70,12 +74,26 @@ def write_upsert(
         return
     target = spark.read.schema(batch.schema).parquet(path)
     if partition_by:
-        touched = new.select(*partition_by).distinct()
-        target = target.join(touched, list(partition_by), "left_semi")
+        target = _touched(target, new, partition_by)
     upsert(target, new, key).write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
     _move_in(spark, staging, path, partition_by)
 
 
+def _touched(target: DataFrame, new: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The partitions of ``target`` that ``new`` has rows for.
+
+    Partition values are few, so they become literals and prune the scan. With
+    more than that, all partitions are read and rewritten.
+    """
+    values = new.select(*partition_by).distinct().limit(_MAX_PARTITIONS + 1).collect()
+    if len(values) > _MAX_PARTITIONS:
+        return target
+    conditions = [
+        reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in values
+    ]
+    return target.where(reduce(or_, conditions, F.lit(False)))
+
+
 def _move_in(spark: SparkSession, staging: str, path: str, partition_by: Sequence[str]) -> None:
     merged = spark.read.parquet(staging)
     writer = merged.write.mode("overwrite").partitionBy(*partition_by)

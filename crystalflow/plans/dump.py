@@ -188,12 +188,14 @@ def curate_trajectories(
         "frame.*",
     )
     structures = tables["structures"]
-    needed = both.select("structure_id").distinct()
-    wanted = structures.join(needed, F.col("id") == F.col("structure_id"), "left_semi")
-    atoms = tables["atoms"].join(needed, "structure_id", "left_semi")
-    joined = both.join(
-        wanted.drop("entry_id").withColumnRenamed("id", "structure_id"), "structure_id", "left"
-    ).join(site_arrays(atoms, wanted), "structure_id", "left")
+    needed = both.select(F.col("structure_id").alias("id")).distinct()
+    wanted = structures.join(needed, "id", "left_semi")
+    described = (
+        wanted.drop("entry_id")
+        .withColumnRenamed("id", "structure_id")
+        .join(site_arrays(tables["atoms"], wanted), "structure_id", "left")
+    )
+    joined = join_per_key(both, described, ["structure_id"], "left")
 
     derived = common.chemistry_of_sites()
     spin = text.spin_polarised(F.col("settings"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crystalflow.functions import arrays
-from crystalflow.operators import frames, selection
+from crystalflow.operators import frames, segments
 from crystalflow.plans import dump
 from crystalflow.queries import Tables, query, roles
 
@@ -164,10 +164,10 @@ def cumulative_steps(t: Tables) -> DataFrame:
     SELECT entry_id, relaxation_number, 'output', l_suppkey, CAST(output_step AS BIGINT) FROM stepped"""
 )
 def frame_union(t: Tables) -> DataFrame:
-    ranked = selection.rank_in_group(
-        roles.calculations(t), ["entry_id"], roles.LINE_ORDER, "relaxation_number"
-    )
-    stepped = frames.cumulative_steps(ranked, ["entry_id"], roles.LINE_ORDER)
+    # number and step count in one pass
+    sums = {"number": F.lit(1).cast("bigint"), "output_step": F.col("nsteps").cast("bigint")}
+    summed = segments.running_sum(roles.calculations(t), ["entry_id"], roles.LINE_ORDER, sums)
+    stepped = summed.withColumn("relaxation_number", F.col("number") - 1)
 
     def frame(role: str, structure: str, step: Column) -> Column:
         return F.struct(
