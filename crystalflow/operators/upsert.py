@@ -1,4 +1,10 @@
-"""Keyed upsert of batches into Parquet tables."""
+"""Keyed upsert of batches into Parquet tables.
+
+Two ways: :func:`write_upsert` merges at once and rewrites the touched
+partitions, which suits curated tables. :func:`append_batch` only adds files,
+so a sync costs as much as its batch whatever the size of the table; readers
+go through :func:`read_current`, and :func:`compact` merges now and then.
+"""
 
 from __future__ import annotations
 
@@ -101,3 +107,40 @@ def _move_in(spark: SparkSession, staging: str, path: str, partition_by: Sequenc
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     files.remove(spark, staging)
+
+
+# --- append now, merge on read -------------------------------------------
+BATCH = "batch"
+
+
+def append_batch(batch: DataFrame, path: str, number: int) -> None:
+    """Add a batch of unique keys to the log at ``path``; higher numbers win.
+
+    Repeating a number replaces that batch, so a retried batch is harmless.
+    """
+    rows = batch.withColumn(BATCH, F.lit(2 * number).cast("bigint"))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(BATCH).parquet(path)
+
+
+def read_current(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
+    """The latest row of every key of a log."""
+    log = spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
+    return best_per_group(log, [key], [F.col(BATCH).desc()]).drop(BATCH)
+
+
+def compact(spark: SparkSession, path: str, key: str = "id") -> None:
+    """Merge a log's batches into one.
+
+    The merged rows become the newest batch, below the number of the next one
+    to come; only then do the old batches go. Dying in between leaves rows that
+    are superseded by equal ones.
+    """
+    numbers = spark.read.parquet(path).select(BATCH).distinct()
+    old = sorted(int(r[BATCH]) for r in numbers.collect())
+    if len(old) < 2:
+        return
+    merged = read_current(spark, path, key).withColumn(BATCH, F.lit(old[-1] + 1).cast("bigint"))
+    merged.write.mode("append").partitionBy(BATCH).parquet(path)
+    for number in old:
+        files.remove(spark, f"{path.rstrip('/')}/{BATCH}={number}")

@@ -89,6 +89,9 @@ def typed(raw: DataFrame, dtype, name: str = "doc") -> DataFrame:
 
 
 # --- bulk keyed files -----------------------------------------------------
+_BATCH_CHARACTERS = 8 << 20  # payload text handed to Spark at a time
+
+
 def _clean(relaxations: Column) -> Column:
     """NaN components become null."""
     step = lambda s: F.struct(
@@ -146,12 +149,18 @@ def read_keyed_json_streaming(spark: SparkSession, listing: DataFrame) -> DataFr
     def entries(batches: Iterator) -> Iterator:
         import pandas as pd
 
+        names = ["id", "payload", "path", "last_modified"]
         for batch in batches:
             for path, modified in zip(batch["path"], batch["last_modified"]):
+                rows, size = [], 0
                 for key, payload in iterate_keyed_json(path):
-                    yield pd.DataFrame(
-                        {"id": [key], "payload": [payload], "path": [path], "last_modified": [modified]}
-                    )
+                    rows.append((key, payload, path, modified))
+                    size += len(payload)
+                    if size > _BATCH_CHARACTERS:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=names)
 
     files = listing.select("path", "last_modified").repartition("path")
     rows = files.mapInPandas(entries, "id string, payload string, path string, last_modified timestamp")

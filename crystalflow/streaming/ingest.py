@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crystalflow.operators.upsert import write_upsert
+from crystalflow.operators.upsert import append_batch, write_upsert
 from crystalflow.sources import documents
 
 
@@ -18,11 +18,14 @@ def ingest_new_files(
     checkpoint: str,
     partition_by: Sequence[str] = ("type",),
     files_per_batch: int | None = None,
+    merge: bool = True,
 ) -> StreamingQuery:
     """Upsert the documents of files not seen before, then stop.
 
     The checkpoint remembers files; a batch that is retried after a failure
-    writes the same rows again, which an upsert by key makes harmless.
+    writes the same rows again, which an upsert by key makes harmless. With
+    ``merge=False`` batches are appended to a log that ``read_current`` merges:
+    the way to go where the table is much larger than what arrives.
     """
     reader = spark.readStream.format("text")
     if files_per_batch is not None:
@@ -36,7 +39,11 @@ def ingest_new_files(
     def store(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("line_no", F.monotonically_increasing_id())
         good = documents.route(numbered).where("parsed")
-        write_upsert(documents.latest_documents(good), table_path, partition_by=partition_by)
+        latest = documents.latest_documents(good)
+        if merge:
+            write_upsert(latest, table_path, partition_by=partition_by)
+        else:
+            append_batch(latest, table_path, batch_id)
 
     return (
         lines.writeStream.foreachBatch(store)

@@ -55,6 +55,21 @@ def test_interrupted_move_is_finished(spark, tmp_path):
     assert table(spark, path) == [("a", "x", 5), ("b", "x", 2), ("z", "x", 6)]
 
 
+def test_log_merges_on_read_and_compacts(spark, tmp_path):
+    path = str(tmp_path / "log")
+    current = lambda: sorted((r["id"], r["v"]) for r in upsert.read_current(spark, path).collect())
+    upsert.append_batch(frame(spark, [("a", "x", 1, 1), ("b", "x", 2, 1)]), path, 0)
+    for _ in range(2):
+        upsert.append_batch(frame(spark, [("b", "x", 5, 1), ("c", "x", 3, 1)]), path, 1)
+    assert current() == [("a", 1), ("b", 5), ("c", 3)]
+    for _ in range(2):
+        upsert.compact(spark, path)
+        assert current() == [("a", 1), ("b", 5), ("c", 3)]
+    assert [os.path.basename(p) for p in glob.glob(path + "/batch=*")] == ["batch=3"]
+    upsert.append_batch(frame(spark, [("a", "x", 9, 1)]), path, 2)
+    assert current() == [("a", 9), ("b", 5), ("c", 3)]
+
+
 def test_create_table(spark, tmp_path):
     name = "created_structures"
     for _ in range(2):
@@ -122,6 +137,17 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert run() == {"m1": 2, "t1": None, "m2": 3}
 
 
+def test_stream_can_append_to_a_log(spark, tmp_path):
+    source, target, check = (str(tmp_path / n) for n in ("in", "raw", "check"))
+    os.mkdir(source)
+    for version in (1, 2):
+        write_jsonl(f"{source}/{version}.jsonl.gz", [{"material_id": "m1", "v": version}, {"task_id": f"t{version}"}])
+        ingest_new_files(spark, source, target, check, merge=False).awaitTermination()
+    rows = {r["id"]: json.loads(r["attributes"]).get("v") for r in upsert.read_current(spark, target).collect()}
+    assert rows == {"m1": 2, "t1": None, "t2": None}
+    assert len(glob.glob(target + "/batch=*")) == 2
+
+
 def test_ingest_is_incremental(spark, tmp_path):
     source, target, book = (str(tmp_path / n) for n in ("in", "raw", "ledger"))
     os.mkdir(source)
