@@ -15,6 +15,7 @@ Keys and order columns must be non-null and the order total within a key.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 SEGMENT = "_segment"
 _SAMPLES_PER_SEGMENT = 32
 _MAX_SEGMENTS = 1024
+ROWS_PER_SEGMENT = 50_000  # no finer: so many rows of one key fit any task
 _FAN = 64  # cut points per branching level
 
 
@@ -54,21 +56,23 @@ def default_segments(df: DataFrame) -> int:
     return min(_MAX_SEGMENTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def cut_points(df: DataFrame, order: Sequence[str | Column], segments: int) -> list[tuple]:
+def cut_points(
+    df: DataFrame, order: Sequence[str | Column], segments: int, total: int | None = None
+) -> list[tuple]:
     """At most ``segments - 1`` increasing order keys that split ``df`` evenly.
 
-    Reads only the order columns. Each task keeps the few rows of smallest
-    hash; the driver sees ``32 * segments`` short rows whatever the input size.
+    Counts the rows, then draws about ``32 * segments`` of them, whatever the
+    input size; both read only the order columns.
     """
     if segments <= 1:
         return []
+    total = df.count() if total is None else total
+    if total == 0:
+        return []
     cols, _ = _comparable(df, order)
     named = [c.alias(f"o{i}") for i, c in enumerate(cols)]
-    sample = (
-        df.select(*named)
-        .orderBy(F.xxhash64(*[F.col(f"o{i}") for i in range(len(cols))]))
-        .limit(segments * _SAMPLES_PER_SEGMENT)
-    )
+    share = min(1.0, segments * _SAMPLES_PER_SEGMENT / total)
+    sample = df.select(*named).sample(share, seed=17)
     rows = sample.orderBy(*sample.columns).collect()
     picks = [tuple(rows[len(rows) * i // segments]) for i in range(1, segments)] if rows else []
     return list(dict.fromkeys(picks))
@@ -99,24 +103,40 @@ def segment_of(df: DataFrame, order: Sequence[str | Column], cuts: list[tuple])
         return parts[0] if single else F.struct(*parts)
 
     key = cols[0] if single else F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
-    points = [literal(c) for c in cuts]
-    if len(points) <= _FAN:
-        return _tree(key, points, 0, len(points))
-    coarse = points[_FAN - 1 :: _FAN]
-    blocks = F.array(*[F.array(*points[i : i + _FAN]) for i in range(0, len(points), _FAN)])
+    if len(cuts) <= _FAN:
+        return _tree(key, [literal(c) for c in cuts], 0, len(cuts))
+    coarse = [literal(c) for c in cuts[_FAN - 1 :: _FAN]]
+    blocks = _constant(cuts, types, single)
     block = _tree(key, coarse, 0, len(coarse))
     inside = F.filter(F.get(blocks, block), lambda cut: cut <= key)
     # past the last full block there is no further cut: get() gives null
     return block * _FAN + F.coalesce(F.size(inside), F.lit(0))
 
 
-def with_segments(
-    df: DataFrame, order: Sequence[str | Column], segments: int | None = None
-) -> DataFrame:
-    """Add the segment column. ``segments=1`` declares every key small."""
-    n = default_segments(df) if segments is None else segments
-    cuts = cut_points(df, order, n)
-    return df.withColumn(SEGMENT, segment_of(df, order, cuts) if cuts else F.lit(0))
+def _constant(cuts: list[tuple], types: list[T.DataType], single: bool) -> Column:
+    """Cut points in blocks of ``_FAN``, as one constant."""
+    names = [f"o{i}" for i in range(len(types))]
+    values = [c[0] if single else dict(zip(names, c)) for c in cuts]
+    point = types[0] if single else T.StructType([T.StructField(n, t) for n, t in zip(names, types)])
+    text = json.dumps([values[i : i + _FAN] for i in range(0, len(values), _FAN)], default=str)
+    return F.from_json(F.lit(text), T.ArrayType(T.ArrayType(point)))
+
+
+def _split(
+    df: DataFrame, order: Sequence[str | Column], segments: int | None
+) -> tuple[DataFrame, bool]:
+    """Add the segment column; also says whether there is more than one segment.
+
+    ``segments=1`` declares every key small; by default the number follows the
+    row count, up to the session's shuffle partitions.
+    """
+    total = None
+    if segments is None:
+        total = df.count()
+        segments = min(default_segments(df), -(-total // ROWS_PER_SEGMENT))
+    cuts = cut_points(df, order, segments, total)
+    number = segment_of(df, order, cuts) if cuts else F.lit(0)
+    return df.withColumn(SEGMENT, number), bool(cuts)
 
 
 def running_sum(
@@ -132,9 +152,8 @@ def running_sum(
     """
     columns = df.columns
     parts = {name: f"_value_{name}" for name in values}
-    cut = with_segments(df, order, segments).select(
-        "*", *[value.alias(parts[name]) for name, value in values.items()]
-    )
+    tagged, several = _split(df, order, segments)
+    cut = tagged.select("*", *[value.alias(parts[name]) for name, value in values.items()])
     group = [*keys, SEGMENT]
     here = Window.partitionBy(*group).orderBy(*_columns(cut, order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -142,7 +161,7 @@ def running_sum(
     local = cut.select(
         *columns, SEGMENT, *[F.sum(parts[name]).over(here).alias(f"_local_{name}") for name in values]
     )
-    if segments == 1:
+    if not several:
         return local.select(*columns, *[F.col(f"_local_{n}").alias(n) for n in values])
 
     earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
@@ -190,7 +209,8 @@ def carried_first(
     from nothing.
     """
     columns = df.columns
-    cut = with_segments(df, order, segments).select(
+    tagged, several = _split(df, order, segments)
+    cut = tagged.select(
         "*", value.alias("_value"), F.coalesce(reset, F.lit(False)).cast("bigint").alias("_reset")
     )
     ordering = _columns(cut, order)
@@ -201,7 +221,7 @@ def carried_first(
     )
     in_run = Window.partitionBy(*group, "_run").orderBy(*_columns(runs, order)).rowsBetween(*start_to_here)
     local = runs.withColumn("_first", F.first("_value", ignorenulls=True).over(in_run))
-    if segments == 1:
+    if not several:
         return local.select(*columns, F.col("_first").alias(name))
 
     last_key = F.struct(*_columns(local, order))

@@ -20,6 +20,7 @@ from crystalflow.operators.segments import default_segments
 SALT = "_salt"
 _SAMPLE = 4096
 _SHARE = 64  # a key is frequent from 1/64 of the rows
+SMALL_TABLE = 200_000  # rows; below, even a single key fits a task
 
 _ATOMIC = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -31,10 +32,13 @@ def _hash(keys: Sequence[str]) -> Column:
 def frequent_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
     """Hashes of the keys that hold at least about 1/64 of the rows.
 
-    Each task keeps 4096 random rows, the driver sees at most 64 hashes.
+    Counts the rows, then draws about 4096; the driver sees at most 64 or so
+    hashes. None for tables of up to ``SMALL_TABLE`` rows.
     """
-    sample = df.select(_hash(keys).alias("h")).orderBy(F.rand(11)).limit(_SAMPLE)
-    # a table smaller than the sample has no key worth splitting
+    total = df.count()
+    if total <= SMALL_TABLE:
+        return []
+    sample = df.select(_hash(keys).alias("h")).sample(min(1.0, _SAMPLE / total), seed=11)
     counted = sample.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     rows = counted.where(F.col("n") >= _SAMPLE // _SHARE).collect()
     return [r["h"] for r in rows]

@@ -108,7 +108,8 @@ def test_empty_input(spark):
 
 
 @pytest.mark.parametrize("partitions", ["1", "4", "32"])
-def test_result_does_not_depend_on_partitions(spark, table, partitions):
+def test_result_does_not_depend_on_partitions(spark, table, partitions, monkeypatch):
+    monkeypatch.setattr(seg, "ROWS_PER_SEGMENT", 100)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:

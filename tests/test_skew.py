@@ -12,6 +12,11 @@ from crystalflow.operators import frames, selection, skew
 from crystalflow.plans import dump
 
 
+@pytest.fixture(autouse=True)
+def no_table_is_small(monkeypatch):
+    monkeypatch.setattr(skew, "SMALL_TABLE", 0)
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 31 == 1, F.lit(None)).otherwise(100 + F.col("id") % 900)
@@ -27,10 +32,12 @@ def bag(df):
     return Counter(tuple(r) for r in df.select("key", "id", *[c for c in df.columns if c == "total"]).collect())
 
 
-def test_frequent_keys_are_found(spark, rows):
+def test_frequent_keys_are_found(spark, rows, monkeypatch):
     found = skew.frequent_keys(rows, ["key"])
     hot = rows.where("key = 7").select(skew._hash(["key"])).first()[0]
     assert hot in found and len(found) <= 64
+    monkeypatch.setattr(skew, "SMALL_TABLE", 10_000)
+    assert skew.frequent_keys(rows, ["key"]) == []
     assert skew.frequent_keys(spark.range(50).withColumnRenamed("id", "key"), ["key"]) == []
 
 
