@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crystalflow.llm import line_dedup, packing, sharding, token_files, tokens
+from crystalflow.llm import classifier, language, line_dedup, packing, rules, sharding, token_files, tokens, trie_bpe
 from crystalflow.operators.scratch import new_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -23,6 +23,33 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of all documents, and the verdict of the likelihood ratio."""
+    docs = _table(spark, sf_dir, "documents")
+    judged = rules.judge(docs, rules.fit(docs, _table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "ratio")
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from labels outside the held-out fifth."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    weights = classifier.fit(docs, labels.where(~held_out))
+    return classifier.score(docs, weights).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op4_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all documents' ids and of what they decode to."""
+    docs = _table(spark, sf_dir, "documents")
+    encoded = trie_bpe.encode(docs, public_tokenizers.path(BYTE_BPE), decoded=True)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written to flat files and read back."""
     folder = new_path(spark, "tokens")
@@ -32,6 +59,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder, with_ids=False)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language.fit(docs.where(~held_out))
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "langs")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes, equal texts together."""
     placed = sharding.shard(_table(spark, sf_dir, "documents"), 16)
@@ -47,7 +82,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_removed")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_token_files, op7_sharding, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_quality_rules, op3_quality_classifier, op4_trie_bpe, op5_token_files, op6_language_id, op7_sharding,
+    op10_line_dedup,
+)}
 
 SQL = {
     "op10_line_dedup": r"""
