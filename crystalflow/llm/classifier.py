@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crystalflow.llm.helpers import chunks
+from crystalflow.llm.helpers import chunks, id_and_text
 from crystalflow.llm.rules import ngram_slots
 from crystalflow.llm.sampling import lowest_hashes, texts_of
 
@@ -120,6 +120,6 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
                 names=[id_col, "score", "predicted"],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = id_and_text(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")

@@ -15,6 +15,7 @@ from crystalflow.operators.scratch import materialise
 
 CHUNK_BYTES = 1 << 20
 ROWS_PER_BLOCK = 50_000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -35,6 +36,14 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = CH
             start = stop
 
 
+def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The two columns as ``id`` and ``text``; keeps Spark's batches for Python small unless the session says otherwise."""
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH_ROWS) == "10000":  # Spark's default
+        conf.set(BATCH_ROWS, "500")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+
 def word_hashes(words: Sequence[bytes]) -> np.ndarray:
     """A stable 64-bit hash of each word."""
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crystalflow.llm.helpers import chunks
+from crystalflow.llm.helpers import chunks, id_and_text
 from crystalflow.llm.sampling import lowest_hashes, texts_of
 
 SLOTS = 1 << 16
@@ -167,6 +167,6 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 names=[id_col, "lang_pred", "score", "langs"],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = id_and_text(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, langs map<string,double>")

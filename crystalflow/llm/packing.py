@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crystalflow.llm.helpers import chunks, running_totals
-from crystalflow.llm.tokens import SPACED, WordEncoder
+from crystalflow.llm.helpers import chunks, id_and_text, running_totals
+from crystalflow.llm.tokens import BYTE_LEVEL, Splitter, WordEncoder
 
 SEQUENCE = 1024
 PIECE = "start long, length long, doc_tokens long, ids binary"
@@ -33,7 +33,7 @@ def piece_lengths(n: int, longest: int = SEQUENCE) -> list[int]:
 
 def split_pieces(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-    longest: int = SEQUENCE, end_id: int = 0, words: str = SPACED,
+    longest: int = SEQUENCE, end_id: int = 0, splitter: Splitter = BYTE_LEVEL,
 ) -> DataFrame:
     """One row per piece: the id column, start, length, doc_tokens and the ids.
 
@@ -46,7 +46,7 @@ def split_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, words)
+        encoder = WordEncoder(tokenizer, splitter)
         for batch in chunks(batches):
             source, start, length, total, ids = [], [], [], [], []
             for row, encoded in enumerate(encoder.encode(batch.column("text").to_pylist())):
@@ -64,13 +64,13 @@ def split_pieces(
                 names=[id_col, "start", "length", "doc_tokens", "ids"],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = id_and_text(docs, id_col, text_col)
     return rows.mapInArrow(pieces, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {PIECE}")
 
 
 def pack(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-    longest: int = SEQUENCE, end_id: int = 0, keep: Mapping[str, Column] | None = None, words: str = SPACED,
+    longest: int = SEQUENCE, end_id: int = 0, keep: Mapping[str, Column] | None = None, splitter: Splitter = BYTE_LEVEL,
 ) -> DataFrame:
     """The pieces with their sequences: sequence_id, offset and bucket (log2 of the length).
 
@@ -79,7 +79,7 @@ def pack(
     keep of each piece's ``ids``: the ids themselves unless given. No rows give
     no rows.
     """
-    pieces = split_pieces(docs, tokenizer, id_col, text_col, longest, end_id, words)
+    pieces = split_pieces(docs, tokenizer, id_col, text_col, longest, end_id, splitter)
     keep = {"ids": F.col("ids")} if keep is None else keep
     pieces = pieces.select(id_col, "start", "length", *[c.alias(n) for n, c in keep.items()], "doc_tokens")
     order = [F.col("length").desc(), F.col(id_col), F.col("start")]

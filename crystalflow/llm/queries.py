@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crystalflow.llm import classifier, language, line_dedup, packing, rules, sharding, token_files, tokens, trie_bpe
+from crystalflow.llm import classifier, language, line_dedup, packing, rules, sharding, token_files, tokens, top_k, trie_bpe
 from crystalflow.operators.scratch import new_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -54,7 +54,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' ids written to flat files and read back."""
     folder = new_path(spark, "tokens")
     token_files.write_tokens(
-        _table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_BPE), tokens.SPACELESS, end_id=1
+        _table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_BPE), tokens.WORD_END, end_id=1
     )
     return token_files.read_tokens(spark, folder, with_ids=False)
 
@@ -76,6 +76,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best partners of every hundredth vector among all vectors."""
+    return top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines of repeated three-line windows."""
     cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
@@ -84,10 +89,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_quality_rules, op3_quality_classifier, op4_trie_bpe, op5_token_files, op6_language_id, op7_sharding,
-    op10_line_dedup,
+    op8_top_k, op10_line_dedup,
 )}
 
 SQL = {
+    "op8_top_k": """
+WITH ints AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+              FROM embeddings WHERE embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     scored AS (SELECT q.vec_id AS query_id, c.vec_id,
+                       list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS score
+                FROM ints q JOIN ints c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
+""",
     "op10_line_dedup": r"""
 WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
      line AS (SELECT doc_id, lines, unnest(range(len(lines))) AS i FROM split),

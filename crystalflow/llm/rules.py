@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crystalflow.llm.helpers import chunks, mixed, window_hashes, word_hashes
+from crystalflow.llm.helpers import chunks, id_and_text, mixed, window_hashes, word_hashes
 from crystalflow.llm.sampling import lowest_hashes, texts_of
 
 SLOTS = 1 << 14
@@ -147,7 +147,7 @@ def judge(
                 names=[id_col, *COUNTS, "ratio"],
             )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = id_and_text(docs, id_col, text_col)
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in COUNTS) + ", ratio double"
     failed = (F.col("n_words") < FEWEST_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT

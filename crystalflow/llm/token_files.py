@@ -22,8 +22,8 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from crystalflow.llm.helpers import chunks
-from crystalflow.llm.tokens import WordEncoder
+from crystalflow.llm.helpers import chunks, id_and_text
+from crystalflow.llm.tokens import Splitter, WordEncoder
 
 MANIFEST = "part int, n_docs long, n_tokens long, width int"
 FLUSH_BYTES = 1 << 23
@@ -76,7 +76,7 @@ class _Writer:
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, tokenizer: str, words: str, end_id: int,
+    docs: DataFrame, folder: str, tokenizer: str, splitter: Splitter, end_id: int,
     id_col: str = "doc_id", text_col: str = "text", vocabulary: int = 1 << 16,
 ) -> None:
     """Encode every text, append ``end_id`` and write the files to the shared ``folder``.
@@ -96,7 +96,7 @@ def write_tokens(
         task, out, encoder = TaskContext.get(), None, None
         for batch in chunks(batches):
             if out is None:
-                encoder = WordEncoder(tokenizer, words)
+                encoder = WordEncoder(tokenizer, splitter)
                 out = _Writer(folder, task.partitionId(), task.taskAttemptId(), width)
             out.add(batch.column("id").to_pylist(), [e + end for e in encoder.encode(batch.column("text").to_pylist())])
         if out is not None:
@@ -107,7 +107,7 @@ def write_tokens(
                 names=["part", "n_docs", "n_tokens", "width"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = id_and_text(docs, id_col, text_col).select(F.col("id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
     ordered.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/written")
     # one row per partition

@@ -13,8 +13,6 @@ from __future__ import annotations
 
 import json
 import re
-import sys
-from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -22,24 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from crystalflow.llm.helpers import chunks
-from crystalflow.llm.tokens import MOST_WORDS, SPACED
-
-# fixed value: the byte-level word pattern, with Unicode white space spelled out
-_WS = r"\t-\r\x85\p{Z}"
-WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WS}\p{{L}}\p{{N}}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+"
-
-
-def byte_letters() -> dict[str, int]:
-    """Which byte each letter of a byte-level vocabulary stands for.
-
-    Visible Latin-1 characters stand for themselves, all other bytes in order
-    for the characters from U+0100 on.
-    """
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
+from crystalflow.llm.helpers import chunks, id_and_text
+from crystalflow.llm.tokens import BYTE_LEVEL, RUNS, byte_letters, packed, specials
 
 class Vocabulary:
     """Tokens and merges of a byte-level BPE tokenizer file."""
@@ -47,7 +29,7 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        letters = byte_letters()
+        letters = {letter: byte for byte, letter in byte_letters().items()}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = {text.encode(): number for text, number in special.items()}
         model = spec["model"]["vocab"]
@@ -92,14 +74,19 @@ class Vocabulary:
         return result
 
 
+RUNS_KEPT = 250_000
+
+
 class TrieEncoder:
     """Encodes whole texts; remembers up to ``keep`` distinct space-led runs per task."""
 
-    def __init__(self, path: str, keep: int = MOST_WORDS):
+    def __init__(self, path: str, keep: int = RUNS_KEPT):
         self.vocabulary = Vocabulary(path)
-        self.runs = re.compile(SPACED).findall
-        self.words = regex.compile(WORDS).findall
-        self.special = re.compile("|".join(map(re.escape, (t.decode() for t in self.vocabulary.special))) or r"(?!)")
+        self.runs = re.compile(RUNS).findall
+        self.words = regex.compile(BYTE_LEVEL.words).findall
+        names = [t.decode() for t in self.vocabulary.special]
+        self.has_special = specials(names)
+        self.special = re.compile("|".join(map(re.escape, names)) or r"(?!)")
         self.keep = keep
         self.ids: dict[str, bytes] = {}
 
@@ -125,13 +112,13 @@ class TrieEncoder:
                 ids.append(last[at])
                 at -= len(v.bytes[last[at]])
             ids.reverse()
-            out[word] = _packed(ids)
+            out[word] = packed(ids)
             before = word
         return out
 
     def _parts(self, run: str) -> list[bytes | int]:
         """A run's words, with special tokens as their ids."""
-        if self.special.search(run) is None:
+        if self.has_special(run) is None:
             return [w.encode() for w in self.words(run)]
         parts: list[bytes | int] = []
         at = 0
@@ -154,7 +141,7 @@ class TrieEncoder:
         parts = {run: self._parts(run) for run in new}
         words = self.encode_words({p for ps in parts.values() for p in ps if isinstance(p, bytes)})
         for run, ps in parts.items():
-            self.ids[run] = b"".join(words[p] if isinstance(p, bytes) else _packed([p]) for p in ps)
+            self.ids[run] = b"".join(words[p] if isinstance(p, bytes) else packed([p]) for p in ps)
         known = self.ids.__getitem__
         return [b"".join(map(known, runs)) for runs in split]
 
@@ -163,14 +150,6 @@ class TrieEncoder:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def _packed(ids: Sequence[int]) -> bytes:
-    """Ids as little-endian unsigned 32-bit values."""
-    values = array("I", ids)
-    if sys.byteorder == "big":
-        values.byteswap()
-    return values.tobytes()
-
-
 def _shared(a: bytes, b: bytes) -> int:
     """Length of the common prefix."""
     n = 0
@@ -203,7 +182,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                 columns, names = [*columns, pa.array(texts, pa.string())], [*names, "decoded"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = id_and_text(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>" + ", decoded string" * decoded)
 
