@@ -153,7 +153,9 @@ def top_k(
         for part in parts:
             for row in part.itertuples(index=False):
                 able = others if row.least <= 0 else others[longest * row.length * (1 + _SLACK) >= row.least]
-                for block in np.array_split(able, max(1, len(able) // 1000)):
+                for block in np.array_split(able, 1 + len(able) // 1000):
+                    if len(block) == 0:
+                        continue
                     yield pd.DataFrame({"id": row.id, "vec": [row.vec] * len(block), "length": row.length, "block": row.block, "bucket": block, "least": row.least})
 
     rest = bounded.mapInPandas(reachable, "id long, vec array<bigint>, length double, block int, bucket int, least long")
