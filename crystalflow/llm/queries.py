@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crystalflow.llm import classifier, language, line_dedup, packing, rules, sharding, token_files, tokens, top_k, trie_bpe
+from crystalflow.llm import classifier, jaccard, language, line_dedup, packing, rules, sharding, token_files, tokens, top_k, trie_bpe
 from crystalflow.operators.scratch import new_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -81,6 +81,11 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines of repeated three-line windows."""
     cleaned = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
@@ -89,7 +94,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_quality_rules, op3_quality_classifier, op4_trie_bpe, op5_token_files, op6_language_id, op7_sharding,
-    op8_top_k, op10_line_dedup,
+    op8_top_k, op9_jaccard, op10_line_dedup,
 )}
 
 SQL = {
