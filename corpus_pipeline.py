@@ -1,3 +1,78 @@
-"""placeholder"""
+"""A pipeline over documents: language, quality, repeated lines, near duplicates, packing.
+
+Every stage is one operator of ``crystalflow.llm`` on all that the stage before
+it kept. ``run`` writes each stage's rows as Parquet to the shared folder and
+gives the next stage what it reads back.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from crystalflow.llm import jaccard, language, line_dedup, packing, rules
+from crystalflow.operators.scratch import materialise
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+LEAST_SHARE = 0.5
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The documents whose ids are in ``kept``; rows that repeat stay repeated."""
+    return docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents in which one learned language has at least half of the words.
+
+    Texts that are null or without letters go, and so do null ids. The model
+    learns from the documents' own non-null ``lang``.
+    """
+    found = language.identify(docs, language.fit(docs))
+    return _only(docs, found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)))
+
+
+def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that pass the base counts and the likelihood ratio; the trusted ones come from ``labels``."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return _only(docs, rules.judge(docs, rules.fit(docs, labels)).where("kept"))
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut later occurrences of three-line windows out of the texts; ``n_chars`` follows, no document goes."""
+    cleaned = line_dedup.dedup_lines(docs)
+    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", changed).select(*COLUMNS)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, keep the document with the lowest id; texts without words all stay."""
+    found = jaccard.near_duplicates(docs)
+    return _only(docs, found.where("doc_id = component_id"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens as power-of-two pieces with their sequences."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    packed = packing.pack(docs, tokenizer, keep={"ids_crc32": F.crc32("ids")})
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("quality_rules", apply_quality_rules),
+    ("line_dedup", remove_repeated_lines),
+    ("jaccard_join", keep_one_of_each),
+    ("packing", pack_sequences),
+]
+
+# trigram likelihoods, hashed n-grams and token ids are not SQL; tests hold the stages against plain loops
 ORACLE_SQL = None
-def run(spark, sf_dir): ...
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

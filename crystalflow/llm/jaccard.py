@@ -72,6 +72,11 @@ def most_overlap(a: bytes, b: bytes, n_a: int, n_b: int) -> int:
     return (n_a + n_b - int(np.bitwise_count(x ^ y).sum())) // 2
 
 
+def set_name(values: bytes) -> int:
+    """A signed 64-bit hash of a whole set."""
+    return xxhash.xxh3_64_intdigest(values) - (1 << 63)
+
+
 def is_link(overlap: int, n_a: int, n_b: int, percent: int) -> bool:
     return 100 * overlap >= percent * (n_a + n_b - overlap)
 
@@ -103,7 +108,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 values = shingles(text, width)
                 np.add.at(sketch, (values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
                 sizes.append(len(values))
-                names.append(xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63) if len(values) else None)
+                names.append(set_name(values.tobytes()) if len(values) else None)
                 bits.append(bitmap(values) if len(values) else None)
             nothing = pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -148,7 +153,7 @@ def _tiles(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> Dat
             keys, salts, names, sizes = [], [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingles(text, width)
-                name = xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63)
+                name = set_name(values.tobytes())
                 if len(values) == 0 or name in seen:
                     continue
                 seen.add(name)
@@ -243,7 +248,7 @@ def _exact(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
         named.join(sizes, "root").select("a", "b", F.xxhash64("root", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group"))
     )
     needed = grouped.select("group", F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    fetched = needed.join(arrays, "set_id")
+    fetched = needed.join(arrays, "set_id").select(F.col("group").alias("of"), "set_id", "data")
 
     def run(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         sets = {name: np.frombuffer(data, np.uint64) for name, data in zip(held["set_id"], held["data"], strict=True)}
@@ -253,7 +258,7 @@ def _exact(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
             keep.append(is_link(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent))
         return asked.loc[np.array(keep, bool), ["a", "b"]]
 
-    return grouped.groupBy("group").cogroup(fetched.groupBy("group")).applyInPandas(run, "a long, b long")
+    return grouped.groupBy("group").cogroup(fetched.groupBy("of")).applyInPandas(run, "a long, b long")
 
 
 def _arrays(docs: DataFrame, tiles: DataFrame, classes: DataFrame, width: int) -> DataFrame:
@@ -262,11 +267,15 @@ def _arrays(docs: DataFrame, tiles: DataFrame, classes: DataFrame, width: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
+            names = batch.column("set_id").to_pylist()
             data = [shingles(t, width).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(data, pa.binary())], names=["set_id", "data"])
+            # of rows that repeat an id, those with the set asked for
+            kept = [(n, d) for n, d in zip(names, data, strict=True) if d and set_name(d) == n]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, _ in kept], pa.int64()), pa.array([d for _, d in kept], pa.binary())], names=["set_id", "data"]
+            )
 
-    found = docs.join(wanted, "id").select("set_id", "text").mapInArrow(run, "set_id long, data binary")
-    return found.where(F.octet_length("data") > 0).dropDuplicates(["set_id"])
+    return docs.join(wanted, "id").select("set_id", "text").mapInArrow(run, "set_id long, data binary")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> Links:
