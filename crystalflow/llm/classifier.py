@@ -1,8 +1,7 @@
 """Quality classifier: logistic regression on hashed word n-grams, trained by FTRL-proximal updates.
 
 Words and pairs of neighbouring words are hashed into slots; a document is the
-sparse vector of the slots it uses, each worth 1 over the square root of their
-number. Several shards of a bounded sample are trained side by side, one pass
+sparse vector of their counts, scaled to length 1. Several shards of a bounded sample are trained side by side, one pass
 of per-coordinate updates after another, and their weights are averaged. A
 score is the logistic of a sparse dot product.
 """
@@ -17,14 +16,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crystalflow.llm.helpers import chunks, id_and_text
-from crystalflow.llm.rules import ngram_slots
+from crystalflow.llm.helpers import chunks, id_and_text, mixed, window_hashes, word_hashes
+from crystalflow.llm.rules import RUNS
 from crystalflow.llm.sampling import lowest_hashes, texts_of
 
 SLOTS = 1 << 18
 PER_LABEL = 8_000
 SHARDS = 4
 PASSES = 4
+INTERCEPT = 0.2
 
 
 @dataclass
@@ -32,10 +32,10 @@ class Ftrl:
     """Follow the regularised leader with one learning rate per coordinate."""
 
     slots: int
-    alpha: float = 0.5
+    alpha: float = 10.0
     beta: float = 1.0
-    l1: float = 0.02
-    l2: float = 0.1
+    l1: float = 0.01
+    l2: float = 0.01
 
     def __post_init__(self):
         self.z, self.n = np.zeros(self.slots), np.zeros(self.slots)
@@ -45,10 +45,10 @@ class Ftrl:
         rate = (self.beta + np.sqrt(n)) / self.alpha + self.l2
         return np.where(np.abs(z) <= self.l1, 0.0, -(z - np.sign(z) * self.l1) / rate)
 
-    def update(self, at: np.ndarray, values: np.ndarray, label: float) -> None:
-        """One row: distinct slots, their values and the label (0 or 1)."""
+    def update(self, at: np.ndarray, values: np.ndarray, label: float, weight: float = 1.0) -> None:
+        """One row: distinct slots, their values, the label (0 or 1) and the row's weight."""
         w = self.weights(at)
-        g = (logistic(float(w @ values)) - label) * values
+        g = weight * (logistic(float(w @ values)) - label) * values
         sigma = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.alpha
         self.z[at] += g - sigma * w
         self.n[at] += g * g
@@ -59,11 +59,17 @@ def logistic(x: float | np.ndarray):
 
 
 def features(text: str, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct slots of a text and their values; slot 0 is the intercept, worth 1."""
-    used = np.unique(ngram_slots(text, slots - 1)) + 1
-    values = np.full(len(used) + 1, 1.0 / np.sqrt(max(1, len(used))))
-    values[0] = 1.0
-    return np.concatenate([[0], used]), values
+    """The distinct slots of a text and their counts, scaled to length 1.
+
+    Slot 0 is the intercept; slot 1 is shared by all pairs of a word with itself.
+    """
+    words = word_hashes(RUNS(text))
+    pairs = window_hashes(words, 2)
+    same = np.flatnonzero(words[1:] == words[:-1])
+    grams = (np.concatenate([mixed(words), pairs]) % np.uint64(slots - 2)).astype(np.int64) + 2
+    used, counts = np.unique(np.concatenate([grams, np.ones(len(same), np.int64)]), return_counts=True)
+    scale = max(1.0, float(np.sqrt((counts * counts).sum())))
+    return np.concatenate([[0], used]), np.concatenate([[INTERCEPT], counts / scale])
 
 
 def fit(
@@ -85,10 +91,12 @@ def fit(
     def train(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["turn", "label"])
         vectors = [features(t or "", slots) for t in part["text"]]
+        # both labels weigh the same
+        weights_of = {label: len(part) / (2 * n) for label, n in part["label"].value_counts().items()}
         model = Ftrl(slots)
         for _ in range(passes):
             for (at, values), label in zip(vectors, part["label"], strict=True):
-                model.update(at, values, label)
+                model.update(at, values, label, weights_of[label])
         weights = model.weights()
         used = np.flatnonzero(weights)
         return pd.DataFrame({"slot": used, "weight": weights[used]})

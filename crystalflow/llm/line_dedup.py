@@ -8,6 +8,8 @@ cover is merged line by line.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crystalflow.operators.scratch import materialise
@@ -52,18 +54,26 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
-    """All rows and columns of ``docs`` with repeated lines cut from the text, and ``n_removed``.
+    """All rows and columns of ``docs`` with repeated lines cut from the text, and ``n_removed`` (which replaces a column of that name).
 
     No row goes, and a text may become empty. A row without removed lines keeps
     its text, null included.
     """
-    removed = repeated_lines(docs, id_col, text_col, width).select(F.col(id_col).alias("_id"), F.col("removed").alias("_removed"))
-    joined = docs.join(removed, F.col(id_col) == F.col("_id"), "left")
+    key, lost = (_fresh(name, docs.columns) for name in ("dedup_id", "dedup_removed"))
+    removed = repeated_lines(docs, id_col, text_col, width).select(F.col(id_col).alias(key), F.col("removed").alias(lost))
+    joined = docs.join(removed, F.col(id_col) == F.col(key), "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col("_removed"), i)), "\n")
+    left = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col(lost), i)), "\n")
     return joined.withColumns(
         {
-            text_col: F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(left),
-            "n_removed": F.coalesce(F.size("_removed"), F.lit(0)).cast("long"),
+            text_col: F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(left),
+            "n_removed": F.coalesce(F.size(lost), F.lit(0)).cast("long"),
         }
-    ).drop("_id", "_removed")
+    ).drop(key, lost)
+
+
+def _fresh(name: str, taken: Sequence[str]) -> str:
+    """A column name that is not taken."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name

@@ -12,6 +12,7 @@ its model; pieces with a special token go through the whole tokenizer.
 from __future__ import annotations
 
 import re
+import weakref
 from array import array
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
@@ -22,7 +23,7 @@ import regex
 _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 _WS = r"\t-\r\x85\p{Z}"
 
-RUNS_KEPT = 200_000  # of each of two generations; some 80 MB in all
+RUNS_KEPT = 250_000  # of each of two generations; some 100 MB in all
 
 
 @dataclass(frozen=True)
@@ -101,8 +102,9 @@ class WordEncoder:
         self.lead = self.letters[32] if splitter.spaces_count else ""
         self.runs = re.compile(RUNS).findall
         self.entangled = re.compile(ENTANGLED).search if splitter.spaces_count else lambda text: None
-        self.led = Known(self._led, keep)  # pieces, without the space before them
-        self.bare = Known(self._ids, max(1, keep // 8))  # pieces as they are
+        me = weakref.ref(self)  # no cycle, so that a task's memory goes with its encoder
+        self.led = Known(lambda piece: me()._led(piece), keep)  # pieces, without the space before them
+        self.bare = Known(lambda piece: me()._ids(piece), max(1, keep // 8))  # pieces as they are
 
     def _word(self, word: str) -> bytes:
         spelled = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.letters)
