@@ -103,7 +103,8 @@ def rules() -> list[Rule]:
         Rule("nelements_positive", "range", c("nelements") > 0),
         Rule("nsites_positive", "range", nsites > 0),
         Rule("source_known", "text", c("source").isin(S.SOURCES)),
-        Rule("functional_known", "text", c("functional").isin(S.FUNCTIONALS)),
+        Rule("functional_known", "text", optional("functional", c("functional").isin(S.FUNCTIONALS))),
+        Rule("cross_compatibility_missing", "text", c("cross_compatibility").isNotNull()),
         Rule("positions_3_vectors", "shape", three_vectors(c("cartesian_site_positions"))),
         Rule("forces_3_vectors", "shape", optional("forces", three_vectors(c("forces")))),
         Rule("stress_3x3", "shape", optional("stress_tensor", three_by_three(c("stress_tensor")))),

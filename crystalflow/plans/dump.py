@@ -12,6 +12,7 @@ from crystalflow.plans import common
 
 SOURCE = "oqmd"
 FUNCTIONAL = "pbe"
+_ATOM_PARTS = 8
 
 
 def label_calculations(calculations: DataFrame, labels: list[str]) -> DataFrame:
@@ -22,20 +23,16 @@ def label_calculations(calculations: DataFrame, labels: list[str]) -> DataFrame:
     )
 
 
-def site_arrays(atoms: DataFrame, structures: DataFrame) -> DataFrame:
-    """Per-structure arrays in atom order, for structures whose atoms are complete.
+def site_arrays(atoms: DataFrame, structures: DataFrame | None = None) -> DataFrame:
+    """Per-structure arrays in atom order, for every structure that has atoms.
 
-    Atoms are counted first. Only structures with exactly ``nsites`` atoms are
-    collected, so no array outgrows what its structure declares; the others
-    could never pass the site-count rules.
+    With ``structures`` (column ``id``) only for those. One array per structure
+    is what is asked for; atoms of a structure are gathered in several parts
+    first, so that no single task collects and sorts them one by one.
     """
-    counted = atoms.groupBy("structure_id").agg(F.count(F.lit(1)).alias("n_atoms"))
-    complete = (
-        structures.select(F.col("id").alias("structure_id"), "nsites")
-        .join(counted, "structure_id")
-        .where(F.col("n_atoms") == F.col("nsites"))
-        .select("structure_id")
-    )
+    if structures is not None:
+        wanted = structures.select(F.col("id").alias("structure_id")).distinct()
+        atoms = join_per_key(atoms, wanted, ["structure_id"], "left_semi")
     site = F.struct(
         "id",
         F.col("element_id").alias("element"),
@@ -43,11 +40,10 @@ def site_arrays(atoms: DataFrame, structures: DataFrame) -> DataFrame:
         F.array("fx", "fy", "fz").alias("force"),
         "charge",
     )
-    grouped = (
-        join_per_key(atoms, complete, ["structure_id"], "left_semi")
-        .groupBy("structure_id")
-        .agg(F.array_sort(F.collect_list(site)).alias("sites"))
+    parts = atoms.groupBy("structure_id", F.pmod(F.xxhash64("id"), F.lit(_ATOM_PARTS)).alias("part")).agg(
+        F.collect_list(site).alias("sites")
     )
+    grouped = parts.groupBy("structure_id").agg(F.array_sort(F.flatten(F.collect_list("sites"))).alias("sites"))
     part = lambda name: F.transform("sites", lambda s: s[name])
     return grouped.select(
         "structure_id",
@@ -91,9 +87,7 @@ def curate_structures(
     ).where(F.col("energy_pa").isNotNull())
     chosen = preferred.select("entry_id", "energy_pa", "band_gap", "settings")
     joined = join_per_key(tables["structures"], chosen, ["entry_id"]).join(
-        site_arrays(tables["atoms"], tables["structures"]),
-        F.col("id") == F.col("structure_id"),
-        "left",
+        site_arrays(tables["atoms"]), F.col("id") == F.col("structure_id"), "left"
     )
     derived = common.chemistry_of_sites()
     identity = F.concat(F.lit("oqmd-"), F.col("id").cast("string"))

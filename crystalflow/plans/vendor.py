@@ -57,6 +57,11 @@ def fan_out(raw: DataFrame) -> DataFrame:
     )
 
 
+def _mapped() -> quality.Rule:
+    """The functional's text has to stand for a functional, though one may be missing elsewhere."""
+    return quality.Rule("functional_unmapped", "source", F.col("functional").isNotNull())
+
+
 def curate_structures(
     raw: DataFrame,
     coefficients: common.Coefficients | None = None,
@@ -72,7 +77,7 @@ def curate_structures(
         "cross_compatibility": chem.cross_compatible(F.col("elements"), SOURCE),
     }
     filled = common.fill(rows, columns, S.STRUCTURE, keep=("document_id", "complete"))
-    extra = [quality.Rule("key_missing", "source", F.col("complete"))]
+    extra = [quality.Rule("key_missing", "source", F.col("complete")), _mapped()]
     document = ["document_id"] if scope == "source_document" else None
     checked = common.structures_checked(common.own_correction(filled, coefficients), document, extra)
     return checked.drop("document_id", "complete")
@@ -85,12 +90,18 @@ def curate_trajectories(
 ) -> tuple[DataFrame, DataFrame]:
     """Frames of keyed files, and the rejected ones.
 
-    One bad frame rejects its whole material, as one record there is one unit.
-    A trajectory is one input row, so its frames are a bounded group.
+    A trajectory is one input row: an id in one file (column ``path``, if
+    there is one). Files hold one functional each, so an id may come in several
+    and its trajectories are numbered, corrected and judged apart. One bad
+    frame rejects its whole trajectory, whose frames are a bounded group.
     """
+    origin = F.col("path") if "path" in keyed.columns else F.lit("")
+    unit = ["immutable_id", "origin"]
     sizes = F.transform("relaxations", lambda r: F.size(r["steps"]))
     steps = frames.explode_relaxations(
-        keyed.select(F.col("id").alias("document_id"), "last_modified", "relaxations", sizes.alias("sizes")),
+        keyed.select(
+            F.col("id").alias("document_id"), "last_modified", "relaxations", sizes.alias("sizes"), origin.alias("origin")
+        ),
         F.col("relaxations"),
         "steps",
         payload=["relaxations"],
@@ -119,13 +130,13 @@ def curate_trajectories(
         "relaxation_number": F.col("relaxation_number"),
         "relaxation_step": F.col("frame_no"),
     }
-    rows = common.fill(placed, columns, S.FRAME)
+    rows = common.fill(placed, columns, S.FRAME, keep=("origin",))
     classified = quality.widen_to_document(
-        quality.classify(rows, frames=True), ["immutable_id"], bounded=True
+        quality.classify(rows, frames=True, extra=[_mapped()]), unit, bounded=True
     )
     own = common.own_correction(quality.accepted(classified), coefficients)
-    corrected = frames.carry_correction(own, ["immutable_id"], ["relaxation_step"], segments=1)
+    corrected = frames.carry_correction(own, unit, ["relaxation_step"], segments=1)
     converged = frames.convergence_filter(
-        corrected, ["immutable_id"], ["relaxation_step"], keep_final=keep_final, bounded=True
+        corrected, unit, ["relaxation_step"], keep_final=keep_final, bounded=True
     )
-    return converged.select(*common.FRAME_COLUMNS), quality.rejected(classified)
+    return converged.select(*common.FRAME_COLUMNS), quality.rejected(classified.drop("origin"))

@@ -57,7 +57,8 @@ def records(t: Tables) -> DataFrame:
         "magnetic_moments": F.when(size == 14, F.array().cast("array<double>")).when(
             size > 14, F.array_repeat(F.lit(0.5), F.col("total"))
         ),
-        "functional": F.when(size == 15, "INVALID").otherwise("pbe"),
+        "functional": F.when(size == 15, "INVALID").when(size != 20, "pbe"),
+        "cross_compatibility": null_if(size == 19, F.lit(True)),
         "space_group_it_number": size * 10,
     }
     return common.fill(parts, columns, S.STRUCTURE, keep=("p_partkey",))
@@ -94,13 +95,14 @@ v_records AS (
            lambda i: [0.05::DOUBLE, p_retailprice / 12000, 0.0::DOUBLE]) AS forces,
          CASE WHEN p_size = 14 THEN [] WHEN p_size > 14
               THEN list_transform(range(total), lambda i: 0.5) END AS moments,
-         CASE WHEN p_size = 15 THEN 'INVALID' ELSE 'pbe' END AS functional, p_size * 10 AS space_group
+         CASE WHEN p_size = 15 THEN 'INVALID' WHEN p_size <> 20 THEN 'pbe' END AS functional, p_size * 10 AS space_group
   FROM v_base)"""
 
 _TEXT = """concat_ws(',',
   CASE WHEN length(id) < 1 THEN 'text_empty:id' END,
   CASE WHEN source NOT IN ('alexandria', 'mp', 'oqmd') THEN 'source_known' END,
   CASE WHEN functional NOT IN ('pbe', 'pbesol', 'scan', 'r2scan') THEN 'functional_known' END,
+  CASE WHEN p_size = 19 THEN 'cross_compatibility_missing' END,
   CASE WHEN list_contains(species_at_sites, 'Xx') THEN 'site_symbols_valid' END,
   CASE WHEN NOT regexp_matches(anonymous, '^([A-Z][0-9]*)+$') THEN 'anonymous_formula_form' END,
   CASE WHEN NOT regexp_matches(descriptive,

@@ -194,14 +194,11 @@ _SITE = "CAST(round(l_discount * 100) AS BIGINT)"
              bool_or(l_tax = 0) AS force_missing, bool_or(l_discount = 0) AS charge_missing
       FROM lineitem GROUP BY l_orderkey)
     SELECT l_orderkey AS structure_id, n_atoms, n_atoms = nsites AS complete,
-           CASE WHEN n_atoms = nsites THEN species END AS species,
-           CASE WHEN n_atoms = nsites THEN xs END AS xs,
-           CASE WHEN n_atoms = nsites THEN NOT force_missing ELSE false END AS has_forces,
-           CASE WHEN n_atoms = nsites THEN NOT charge_missing ELSE false END AS has_charges
+           species, xs, NOT force_missing AS has_forces, NOT charge_missing AS has_charges
     FROM sites"""
 )
 def site_arrays(t: Tables) -> DataFrame:
-    """Per-structure arrays where the atom count equals the declared one."""
+    """Per-structure arrays of every structure, and whether the count is the declared one."""
     line = t.lineitem
     atoms = line.select(
         F.struct(*roles.LINE_ORDER).alias("id"),
@@ -218,7 +215,7 @@ def site_arrays(t: Tables) -> DataFrame:
     structures = line.groupBy(F.col("l_orderkey").alias("id")).agg(
         F.max("l_linenumber").alias("nsites"), F.count(F.lit(1)).alias("n_atoms")
     )
-    sites = dump.site_arrays(atoms, structures).withColumnRenamed("structure_id", "id")
+    sites = dump.site_arrays(atoms).withColumnRenamed("structure_id", "id")
     return structures.join(sites, "id", "left").select(
         F.col("id").alias("structure_id"),
         "n_atoms",

@@ -252,7 +252,7 @@ def test_vendor_structures(spark):
     assert not rows["agm6-pbe"]["cross_compatibility"] and rows["agm2-pbe"]["cross_compatibility"]
     reasons = {(r["immutable_id"], r["functional"]): r["reasons"] for r in bad.collect()}
     assert reasons[("agm3", "pbe")] == ["key_missing"]
-    assert reasons[("agm4", None)] == ["functional_known"]
+    assert reasons[("agm4", None)] == ["functional_unmapped"]
     assert reasons[("agm5", "scan")] == ["key_missing"] and reasons[("agm5", "pbe")] == ["document_rejected"]
 
 
@@ -414,6 +414,15 @@ def test_dump_trajectories(spark):
     assert strict.count() == 3
 
 
+def test_dump_frames_count_their_own_atoms(spark):
+    """What a structure declares does not matter to frames."""
+    cells = [cell(1, 1, nsites=7), cell(2, 1)]
+    given = tables(spark, cells, [calc(100, "relaxation", input_id=1, output_id=2)], [*atoms(1), *atoms(2)], [100])
+    good, bad = pipelines.curate_trajectories("oqmd", given, coefficients=FREE, keep_final=True)
+    assert {r["id"]: r["nsites"] for r in good.collect()} == {"oqmd-2-pbe-0": 2, "oqmd-2-pbe-3": 2}
+    assert bad.count() == 0
+
+
 def test_dump_relaxations_are_small_groups(spark):
     given = tables(spark, [], [calc(1, "relaxation", input_id=1, output_id=2)] * 50, [], [1])
     assert dump.relaxations(given["entries"], given["calculations"]).count() == 0
