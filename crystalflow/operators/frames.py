@@ -115,8 +115,7 @@ def close_to_primary(
     ends = df.groupBy(*keys, number).agg(
         F.max_by(F.col(energy) / F.col(nsites), _key(order)).alias("_end")
     )
-    # picked by an aggregate, not a filter: both uses of ``ends`` stay the same
-    # plan, so its exchange is computed once
+    # picked by an aggregate, not a filter, so both uses of ``ends`` are one plan
     is_primary = F.col(number) == 0
     primary = ends.groupBy(*keys).agg(F.max(F.when(is_primary, F.col("_end"))).alias("_primary"))
     close = (
@@ -124,7 +123,7 @@ def close_to_primary(
         .where(is_primary | (F.abs(F.col("_end") - F.col("_primary")) <= tolerance))
         .select(*keys, number)
     )
-    return df.join(close, [*keys, number], "left_semi")
+    return join_per_key(df, close, [*keys, number], "left_semi")
 
 
 def carry_correction(

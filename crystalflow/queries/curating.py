@@ -328,3 +328,86 @@ def dump_relaxations(t: Tables) -> DataFrame:
     entries = t.orders.where("o_orderpriority <> '1-URGENT'").select(F.col("o_orderkey").alias("id"))
     usable = dump.relaxations(entries, roles.calculations(t))
     return usable.select("entry_id", "label", "relaxation_number", "output_step", "last_output_id")
+
+
+@query(
+    f"""WITH sites AS (
+      SELECT l_orderkey AS k, count(*) AS n, bool_or(l_tax = 0) AS no_force,
+             string_agg(['Al', 'Ca', 'Fe', 'H', 'O', 'Si', 'V'][l_linenumber], '|' ORDER BY {roles.LINE_ORDER_SQL}) AS species
+      FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY 1),
+    entries AS (
+      SELECT o_orderkey AS input, o_orderkey + 1 AS output, -o_totalprice / 100000 AS energy FROM orders
+      WHERE o_orderkey IN (SELECT k FROM sites) AND o_orderkey + 1 IN (SELECT k FROM sites)),
+    frames AS (
+      SELECT input, output, s.*, -4.0::DOUBLE AS energy, 0 AS step FROM entries JOIN sites s ON k = input
+      UNION ALL SELECT input, output, s.*, energy, 3 FROM entries JOIN sites s ON k = output),
+    usable AS (
+      SELECT *, arg_max(energy / n, step) OVER (PARTITION BY input) AS last FROM frames WHERE NOT no_force)
+    SELECT 'oqmd-' || output || '-pbe-' || step AS id, energy, 0 AS relaxation_number, step AS relaxation_step,
+           CAST(n AS INTEGER) AS nsites, species, 0.01::DOUBLE * n AS total_force
+    FROM usable WHERE energy / n - last <= 1.0"""
+)
+def curate_dump_trajectories(t: Tables) -> DataFrame:
+    """Orders as entries that relax into the next order's structure, which may declare other site counts."""
+    given = snapshot(t)
+    given["structures"] = given["structures"].withColumn("energy", F.lit(-4.0))
+    given["entries"] = t.orders.select(F.col("o_orderkey").alias("id"))
+    given["calculations"] = t.orders.select(
+        F.col("o_orderkey").alias("entry_id"),
+        F.lit("relaxation").alias("label"),
+        (-F.col("o_totalprice") / 100000).alias("energy"),
+        F.lit("{'ispin': 2}").alias("settings"),
+        F.col("o_orderkey").alias("input_id"),
+        (F.col("o_orderkey") + 1).alias("output_id"),
+        F.lit(3).alias("nsteps"),
+        F.lit(True).alias("converged"),
+    )
+    kept, _ = dump.curate_trajectories(given, keep_final=True)
+    return kept.select(
+        "id",
+        "energy",
+        "relaxation_number",
+        "relaxation_step",
+        "nsites",
+        F.array_join("species_at_sites", "|").alias("species"),
+        F.aggregate("forces", F.lit(0.0), lambda total, f: total + f[0] + f[1] + f[2]).alias("total_force"),
+    )
+
+
+@query(
+    """WITH steps AS (
+      SELECT p_partkey, p_size, path, unnest(range(4)) AS step FROM part, (VALUES ('pbe'), ('scan')) AS files(path)),
+    frames AS (
+      SELECT *, -p_size - step * 0.5::DOUBLE - CASE path WHEN 'scan' THEN 0.125::DOUBLE ELSE 0.0::DOUBLE END
+                + CASE WHEN step = 0 AND p_size < 10 THEN 8.0::DOUBLE ELSE 0.0::DOUBLE END AS energy
+      FROM steps WHERE NOT (path = 'pbe' AND p_size = 20))
+    SELECT 'agm-' || p_partkey || '-' || path || '-' || step AS id, energy,
+           CASE path WHEN 'scan' THEN energy END AS energy_corrected, CAST(step // 2 AS INTEGER) AS relaxation_number,
+           CAST(step AS INTEGER) AS relaxation_step
+    FROM frames WHERE step < 3 AND NOT (step = 0 AND p_size < 10)"""
+)
+def curate_vendor_trajectories(t: Tables) -> DataFrame:
+    """Every id in a pbe and in a scan file; a bad pbe frame leaves the scan one alone."""
+    size = F.col("p_size")
+
+    def step(path: str, number: int) -> Column:
+        start = F.when((size < 10) & F.lit(number == 0), 8.0).otherwise(0.0)
+        stress = F.when((size == 20) & F.lit(path == "pbe"), _matrix(_UNIT[:2])).otherwise(_matrix(_UNIT))
+        return F.struct(
+            _structure_doc("Al", "O").alias("structure"),
+            (start - size - number * 0.5 - (0.125 if path == "scan" else 0.0)).alias("energy"),
+            _matrix(_CALM).alias("forces"),
+            stress.alias("stress"),
+        )
+
+    def file(path: str) -> DataFrame:
+        halves = [F.struct(F.lit(path).alias("functional"), F.array(*[step(path, k) for k in ks]).alias("steps")) for ks in ((0, 1), (2, 3))]
+        return t.part.select(
+            F.concat(F.lit("agm-"), F.col("p_partkey").cast("string")).alias("id"),
+            F.array(*halves).alias("relaxations"),
+            F.lit(path).alias("path"),
+            F.current_timestamp().alias("last_modified"),
+        )
+
+    kept, _ = vendor.curate_trajectories(file("pbe").unionByName(file("scan")))
+    return kept.select("id", "energy", "energy_corrected", "relaxation_number", "relaxation_step")
