@@ -20,6 +20,19 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds any data file, whoever wrote it and whether or not it left a marker."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return False
+    found = fs.listFiles(root, True)
+    while found.hasNext():
+        parts = found.next().getPath().toString()[len(fs.makeQualified(root).toString()) :].strip("/").split("/")
+        if not any(p.startswith(("_", ".")) for p in parts):
+            return True
+    return False
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

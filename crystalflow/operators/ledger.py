@@ -22,7 +22,7 @@ def transform_key(dataset: str) -> str:
 def read_version(spark: SparkSession, path: str, dataset: str) -> str | None:
     """Last synced version; None when unknown or the ledger cannot be read."""
     try:
-        if not files.is_complete(spark, path):
+        if not files.has_data(spark, path):
             return None
         row = (
             spark.read.schema(S.LEDGER)

@@ -1,9 +1,9 @@
-"""Keyed upsert of batches into Parquet tables.
+"""Keyed upsert of batches into tables.
 
-Two ways: :func:`write_upsert` merges at once and rewrites the touched
-partitions, which suits curated tables. :func:`append_batch` only adds files,
-so a sync costs as much as its batch whatever the size of the table; readers
-go through :func:`read_current`, and :func:`compact` merges now and then.
+:func:`write_upsert` merges into plain Parquet and rewrites only the partitions
+a batch touches; hash buckets of the key keep those few for small batches.
+:func:`merge_upsert` leaves the merge to a catalog that has row-level
+operations.
 """
 
 from __future__ import annotations
@@ -14,10 +14,11 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from crystalflow.operators import files
+from crystalflow.operators import files, scratch
 from crystalflow.operators.selection import best_per_group
 
-_MAX_PARTITIONS = 1000
+_MOST_LITERALS = 1000
+BUCKET = "key_bucket"
 
 
 def latest_per_key(batch: DataFrame, key: str, newest_first: Sequence[Column]) -> DataFrame:
@@ -62,22 +63,29 @@ def write_upsert(
     key: str = "id",
     newest_first: Sequence[Column] | None = None,
     partition_by: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> None:
     """Upsert ``batch`` into the Parquet table at ``path``.
 
     Only partitions the batch touches are rewritten (a key must not change
-    partition). The merged rows are written next to the table first and moved
-    in by a second job, so the table is never overwritten while being read. A
-    run that died between the two is finished by the next call.
+    partition). With ``buckets`` the table is partitioned by a hash of the key
+    as well, as column ``key_bucket``; their number must stay the same. The
+    batch is computed once. The merged rows are written next to the table first
+    and moved in by a second job, so the table is never overwritten while being
+    read. A run that died between the two is finished by the next call.
     """
     spark = batch.sparkSession
+    if buckets is not None:
+        batch = batch.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        partition_by = [*partition_by, BUCKET]
     staging = f"{path.rstrip('/')}__staging"
     if files.is_complete(spark, staging):
         _move_in(spark, staging, path, partition_by)
     new = batch if newest_first is None else latest_per_key(batch, key, newest_first)
-    if not files.is_complete(spark, path):
+    if not files.has_data(spark, path):
         new.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return
+    new = scratch.materialise(new)
     target = spark.read.schema(batch.schema).parquet(path)
     if partition_by:
         target = _touched(target, new, partition_by)
@@ -85,15 +93,31 @@ def write_upsert(
     _move_in(spark, staging, path, partition_by)
 
 
+def merge_upsert(
+    batch: DataFrame, table: str, key: str = "id", newest_first: Sequence[Column] | None = None
+) -> None:
+    """Upsert ``batch`` into a catalog table that supports row-level operations.
+
+    The catalog rewrites only the files that hold changed keys. A batch key must
+    be unique, or ``newest_first`` say which row to take.
+    """
+    new = batch if newest_first is None else latest_per_key(batch, key, newest_first)
+    same = F.col(f"{table}.{key}") == F.col(f"new.{key}")
+    new.alias("new").mergeInto(table, same).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
 def _touched(target: DataFrame, new: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """The partitions of ``target`` that ``new`` has rows for.
 
-    Partition values are few, so they become literals and prune the scan. With
-    more than that, all partitions are read and rewritten.
+    Partition values are few, so they become literals and prune the scan; more
+    of them are joined. Either way only these partitions are rewritten.
     """
-    values = new.select(*partition_by).distinct().limit(_MAX_PARTITIONS + 1).collect()
-    if len(values) > _MAX_PARTITIONS:
-        return target
+    named = new.select(*partition_by).distinct()
+    values = named.limit(_MOST_LITERALS + 1).collect()
+    if len(values) > _MOST_LITERALS:
+        held = named.select(*[F.col(c).alias(f"_new_{c}") for c in partition_by])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in partition_by])
+        return target.join(held, same, "left_semi")
     conditions = [
         reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by]) for row in values
     ]
@@ -107,40 +131,3 @@ def _move_in(spark: SparkSession, staging: str, path: str, partition_by: Sequenc
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     files.remove(spark, staging)
-
-
-# --- append now, merge on read -------------------------------------------
-BATCH = "batch"
-
-
-def append_batch(batch: DataFrame, path: str, number: int) -> None:
-    """Add a batch of unique keys to the log at ``path``; higher numbers win.
-
-    Repeating a number replaces that batch, so a retried batch is harmless.
-    """
-    rows = batch.withColumn(BATCH, F.lit(2 * number).cast("bigint"))
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(BATCH).parquet(path)
-
-
-def read_current(spark: SparkSession, path: str, key: str = "id") -> DataFrame:
-    """The latest row of every key of a log."""
-    log = spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
-    return best_per_group(log, [key], [F.col(BATCH).desc()]).drop(BATCH)
-
-
-def compact(spark: SparkSession, path: str, key: str = "id") -> None:
-    """Merge a log's batches into one.
-
-    The merged rows become the newest batch, below the number of the next one
-    to come; only then do the old batches go. Dying in between leaves rows that
-    are superseded by equal ones.
-    """
-    numbers = spark.read.parquet(path).select(BATCH).distinct()
-    old = sorted(int(r[BATCH]) for r in numbers.collect())
-    if len(old) < 2:
-        return
-    merged = read_current(spark, path, key).withColumn(BATCH, F.lit(old[-1] + 1).cast("bigint"))
-    merged.write.mode("append").partitionBy(BATCH).parquet(path)
-    for number in old:
-        files.remove(spark, f"{path.rstrip('/')}/{BATCH}={number}")

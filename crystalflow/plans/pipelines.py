@@ -62,12 +62,14 @@ def ingest(
     ledger_path: str,
     dataset: str,
     offset: int = 0,
-    partition_by: Sequence[str] = ("type",),
+    partition_by: Sequence[str] = (),
+    buckets: int | None = 64,
 ) -> str:
     """Fetch new JSON-lines files into the raw table; returns the new version.
 
     Files older than the ledger's version are skipped. The new version is the
-    latest modification day seen, today when nothing was found.
+    latest modification day seen, today when nothing was found. Lines without
+    a usable document go to the table ``<table_path>_rejects``.
     """
     objects = listing.data_files(listing.list_objects(spark, path))
     version = ledger.read_version(spark, ledger_path, dataset)
@@ -75,9 +77,10 @@ def ingest(
     # file names only, which Spark's own file index keeps on the driver as well
     paths = [r["path"] for r in due.select("path", "file_no").orderBy("file_no").toLocalIterator()]
     if paths:
-        good, _ = documents.read_documents(spark, paths)
-        newest = documents.latest_documents(good)
-        upsert.write_upsert(newest, table_path, partition_by=partition_by)
+        routed = documents.route(documents.read_lines(spark, paths))
+        newest = documents.latest_documents(routed.where("parsed"))
+        upsert.write_upsert(newest, table_path, partition_by=partition_by, buckets=buckets)
+        upsert.write_upsert(documents.unusable_lines(routed), documents.rejects_path(table_path))
     fresh = ledger.new_version(objects).first()["version"]
     ledger.write_version(spark, ledger_path, dataset, fresh)
     return fresh
@@ -87,7 +90,7 @@ def store(
     df: DataFrame, table_path: str, ledger_path: str, dataset: str, partition_by=("source", "functional")
 ) -> str:
     """Upsert curated rows and record the transform's version."""
-    newest = [F.col("last_modified").desc_nulls_last(), F.to_json(F.struct(*df.columns)).desc()]
+    newest = [F.col("last_modified").desc_nulls_last(), F.xxhash64(*df.columns).desc()]
     upsert.write_upsert(df, table_path, "id", newest, partition_by)
     stored = df.sparkSession.read.parquet(table_path)
     fresh = ledger.new_version(stored).first()["version"]

@@ -69,6 +69,17 @@ def route(lines: DataFrame, column: str = "value") -> DataFrame:
     return routed.withColumn("parsed", F.col("id").isNotNull())
 
 
+def unusable_lines(routed: DataFrame) -> DataFrame:
+    """Lines that give no document, with where they stood; ``id`` names file and line."""
+    where = F.concat_ws(":", "file_path", F.col("line_no").cast("string"))
+    return routed.where("NOT parsed").select(where.alias("id"), F.col("attributes").alias("value"), "file_path", "file_modified")
+
+
+def rejects_path(table_path: str) -> str:
+    """Where the unusable lines of a raw table are kept."""
+    return f"{table_path.rstrip('/')}_rejects"
+
+
 def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Good raw rows with their origin, and the lines that could not be used."""
     routed = route(read_lines(spark, paths))

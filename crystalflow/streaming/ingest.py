@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crystalflow.operators.upsert import append_batch, write_upsert
+from crystalflow.operators.scratch import materialise
+from crystalflow.operators.upsert import write_upsert
 from crystalflow.sources import documents
 
 
@@ -16,16 +17,15 @@ def ingest_new_files(
     path: str,
     table_path: str,
     checkpoint: str,
-    partition_by: Sequence[str] = ("type",),
+    partition_by: Sequence[str] = (),
     files_per_batch: int | None = None,
-    merge: bool = True,
+    buckets: int | None = 64,
 ) -> StreamingQuery:
     """Upsert the documents of files not seen before, then stop.
 
     The checkpoint remembers files; a batch that is retried after a failure
-    writes the same rows again, which an upsert by key makes harmless. With
-    ``merge=False`` batches are appended to a log that ``read_current`` merges:
-    the way to go where the table is much larger than what arrives.
+    writes the same rows again, which an upsert by key makes harmless. Lines
+    without a usable document go to the table ``<table_path>_rejects``.
     """
     reader = spark.readStream.format("text")
     if files_per_batch is not None:
@@ -37,13 +37,12 @@ def ingest_new_files(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("line_no", F.monotonically_increasing_id())
-        good = documents.route(numbered).where("parsed")
-        latest = documents.latest_documents(good)
-        if merge:
-            write_upsert(latest, table_path, partition_by=partition_by)
-        else:
-            append_batch(latest, table_path, batch_id)
+        # the batch's rows are read twice, and their line numbers must agree
+        numbered = materialise(batch.withColumn("line_no", F.monotonically_increasing_id()))
+        routed = documents.route(numbered)
+        latest = documents.latest_documents(routed.where("parsed"))
+        write_upsert(latest, table_path, partition_by=partition_by, buckets=buckets)
+        write_upsert(documents.unusable_lines(routed), documents.rejects_path(table_path))
 
     return (
         lines.writeStream.foreachBatch(store)

@@ -55,19 +55,38 @@ def test_interrupted_move_is_finished(spark, tmp_path):
     assert table(spark, path) == [("a", "x", 5), ("b", "x", 2), ("z", "x", 6)]
 
 
-def test_log_merges_on_read_and_compacts(spark, tmp_path):
-    path = str(tmp_path / "log")
-    current = lambda: sorted((r["id"], r["v"]) for r in upsert.read_current(spark, path).collect())
-    upsert.append_batch(frame(spark, [("a", "x", 1, 1), ("b", "x", 2, 1)]), path, 0)
-    for _ in range(2):
-        upsert.append_batch(frame(spark, [("b", "x", 5, 1), ("c", "x", 3, 1)]), path, 1)
-    assert current() == [("a", 1), ("b", 5), ("c", 3)]
-    for _ in range(2):
-        upsert.compact(spark, path)
-        assert current() == [("a", 1), ("b", 5), ("c", 3)]
-    assert [os.path.basename(p) for p in glob.glob(path + "/batch=*")] == ["batch=3"]
-    upsert.append_batch(frame(spark, [("a", "x", 9, 1)]), path, 2)
-    assert current() == [("a", 9), ("b", 5), ("c", 3)]
+def test_table_without_marker_is_not_overwritten(spark, tmp_path):
+    """Another writer, or a catalog, may leave no _SUCCESS file."""
+    path = str(tmp_path / "t")
+    upsert.write_upsert(frame(spark, [("a", "x", 1, 1), ("b", "x", 2, 1)]), path)
+    os.remove(f"{path}/_SUCCESS")
+    upsert.write_upsert(frame(spark, [("b", "x", 7, 1)]), path)
+    assert table(spark, path) == [("a", "x", 1), ("b", "x", 7)]
+    os.makedirs(tmp_path / "marked")
+    (tmp_path / "marked" / "_SUCCESS").write_text("")
+    assert not files.has_data(spark, str(tmp_path / "marked"))
+    assert not files.has_data(spark, str(tmp_path / "nothing"))
+
+
+def test_small_batch_touches_few_buckets(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(f"k{i}", "x", i, 1) for i in range(200)]
+    upsert.write_upsert(frame(spark, rows), path, buckets=16)
+    before = set(glob.glob(path + "/*/*.parquet"))
+    upsert.write_upsert(frame(spark, [("k5", "x", -5, 2), ("new", "x", 0, 2)]), path, buckets=16)
+    after = set(glob.glob(path + "/*/*.parquet"))
+    assert len({os.path.dirname(f) for f in before - after}) <= 2 and len(before & after) >= 14
+    assert table(spark, path) == sorted([*[r[:3] for r in rows if r[0] != "k5"], ("k5", "x", -5), ("new", "x", 0)])
+
+
+def test_many_touched_partitions_are_joined(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "_MOST_LITERALS", 1)
+    path = str(tmp_path / "t")
+    upsert.write_upsert(frame(spark, [("a", "x", 1, 1), ("b", "y", 2, 1), ("c", "z", 3, 1), ("n", None, 4, 1)]), path, partition_by=("kind",))
+    before = set(glob.glob(path + "/kind=z/*.parquet"))
+    upsert.write_upsert(frame(spark, [("a", "x", 5, 1), ("b", "y", 6, 1), ("n", None, 7, 1)]), path, partition_by=("kind",))
+    assert set(glob.glob(path + "/kind=z/*.parquet")) == before
+    assert {(r["id"], r["v"]) for r in spark.read.parquet(path).collect()} == {("a", 5), ("b", 6), ("c", 3), ("n", 7)}
 
 
 def test_create_table(spark, tmp_path):
@@ -137,15 +156,15 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert run() == {"m1": 2, "t1": None, "m2": 3}
 
 
-def test_stream_can_append_to_a_log(spark, tmp_path):
+def test_stream_keeps_unusable_lines(spark, tmp_path):
     source, target, check = (str(tmp_path / n) for n in ("in", "raw", "check"))
     os.mkdir(source)
-    for version in (1, 2):
-        write_jsonl(f"{source}/{version}.jsonl.gz", [{"material_id": "m1", "v": version}, {"task_id": f"t{version}"}])
-        ingest_new_files(spark, source, target, check, merge=False).awaitTermination()
-    rows = {r["id"]: json.loads(r["attributes"]).get("v") for r in upsert.read_current(spark, target).collect()}
-    assert rows == {"m1": 2, "t1": None, "t2": None}
-    assert len(glob.glob(target + "/batch=*")) == 2
+    with open(f"{source}/a.jsonl", "w") as out:
+        out.write('{"material_id": "m1"}\nno json\n{"v": 3}\n')
+    ingest_new_files(spark, source, target, check).awaitTermination()
+    assert [r["id"] for r in spark.read.parquet(target).collect()] == ["m1"]
+    rejects = spark.read.parquet(f"{target}_rejects").collect()
+    assert sorted(r["value"] for r in rejects) == ["no json", '{"v": 3}']
 
 
 def test_ingest_is_incremental(spark, tmp_path):
