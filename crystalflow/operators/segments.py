@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SEGMENT = "_segment"
 _SAMPLES_PER_SEGMENT = 32
-_MAX_SEGMENTS = 1024
+_MOST_SAMPLES = 1_000_000  # rows of the order columns that the driver sorts
+_MAX_SEGMENTS = 100_000  # cut points are one constant in the plan; beyond five billion rows segments grow
 ROWS_PER_SEGMENT = 50_000  # no finer: so many rows of one key fit any task
 _FAN = 64  # cut points per branching level
 
@@ -52,8 +53,8 @@ def _comparable(df: DataFrame, order: Sequence[str | Column]) -> tuple[list[Colu
 
 
 def default_segments(df: DataFrame) -> int:
-    """As many segments as the session has shuffle partitions, 1024 at most."""
-    return min(_MAX_SEGMENTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """As many as the session has shuffle partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def cut_points(
@@ -71,7 +72,7 @@ def cut_points(
         return []
     cols, _ = _comparable(df, order)
     named = [c.alias(f"o{i}") for i, c in enumerate(cols)]
-    share = min(1.0, segments * _SAMPLES_PER_SEGMENT / total)
+    share = min(1.0, min(_MOST_SAMPLES, segments * _SAMPLES_PER_SEGMENT) / total)
     sample = df.select(*named).sample(share, seed=17)
     rows = sample.orderBy(*sample.columns).collect()
     picks = [tuple(rows[len(rows) * i // segments]) for i in range(1, segments)] if rows else []
@@ -128,12 +129,12 @@ def _split(
     """Add the segment column; also says whether there is more than one segment.
 
     ``segments=1`` declares every key small; by default the number follows the
-    row count, up to the session's shuffle partitions.
+    row count alone.
     """
     total = None
     if segments is None:
         total = df.count()
-        segments = min(default_segments(df), -(-total // ROWS_PER_SEGMENT))
+        segments = min(_MAX_SEGMENTS, -(-total // ROWS_PER_SEGMENT))
     cuts = cut_points(df, order, segments, total)
     number = segment_of(df, order, cuts) if cuts else F.lit(0)
     return df.withColumn(SEGMENT, number), bool(cuts)

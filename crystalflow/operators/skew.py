@@ -3,10 +3,10 @@
 Spark's own skew handling splits a hot key only where both join sides come
 straight from a shuffle. A per-key summary comes from an aggregate, so a key
 with a third of all rows would end up in one task. Here frequent keys are
-found in a bounded sample and salted: their rows spread over many partitions,
-and their summary row is copied to each. All other keys join as usual.
+found by a sketch and salted: their rows spread over many partitions, and their
+summary row is copied to each. All other keys join as usual.
 
-What the sample misses costs balance, never rows.
+What the sketch misses costs balance, never rows.
 """
 
 from __future__ import annotations
@@ -18,9 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from crystalflow.operators.segments import default_segments
 
 SALT = "_salt"
-_SAMPLE = 4096
-_SHARE = 64  # a key is frequent from 1/64 of the rows
-SMALL_TABLE = 200_000  # rows; below, even a single key fits a task
+_TRACKED_PER_PARTITION = 16
 
 _ATOMIC = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -30,18 +28,18 @@ def _hash(keys: Sequence[str]) -> Column:
 
 
 def frequent_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the keys that hold at least about 1/64 of the rows.
+    """Hashes of the keys that hold half a shuffle partition's share of the rows or more.
 
-    Counts the rows, then draws about 4096; the driver sees at most 64 or so
-    hashes. None for tables of up to ``SMALL_TABLE`` rows.
+    One pass over the key columns counts the rows and keeps a sketch of
+    frequent items, whose size follows the number of partitions; so does the
+    number of hashes the driver gets.
     """
-    total = df.count()
-    if total <= SMALL_TABLE:
-        return []
-    sample = df.select(_hash(keys).alias("h")).sample(min(1.0, _SAMPLE / total), seed=11)
-    counted = sample.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    rows = counted.where(F.col("n") >= _SAMPLE // _SHARE).collect()
-    return [r["h"] for r in rows]
+    partitions = default_segments(df)
+    tracked = min(1_000_000, _TRACKED_PER_PARTITION * partitions)
+    top = F.expr(f"approx_top_k(h, {min(2 * partitions, tracked)}, {tracked})")
+    row = df.select(_hash(keys).alias("h")).agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    least = max(2, row["n"] / (2 * partitions))
+    return [item["item"] for item in row["top"] or [] if item["count"] >= least]
 
 
 def join_per_key(

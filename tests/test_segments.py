@@ -118,3 +118,24 @@ def test_result_does_not_depend_on_partitions(spark, table, partitions, monkeypa
         spark.conf.set("spark.sql.shuffle.partitions", before)
     plain = seg.position(table, ["key"], ["at", "id"], "place", 1).collect()
     assert {(r["id"], r["place"]) for r in got} == {(r["id"], r["place"]) for r in plain}
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "timestamp", "date"])
+@pytest.mark.parametrize("keys", [[], ["key"]])
+def test_many_segments_on_other_order_types(spark, kind, keys):
+    """More cut points than fit the plan one by one, for each type an order column can have."""
+    number = (F.col("id") * 7919) % 3001
+    order = {
+        "string": F.concat(F.lit('q"\\'), F.lpad(number.cast("string"), 5, "0")),
+        "double": number / 7 - 200,
+        "timestamp": F.timestamp_seconds(number * 3601),
+        "date": F.date_add(F.lit("1990-01-01").cast("date"), number.cast("int")),
+    }[kind]
+    key = F.when(F.col("id") % 3 == 0, HOT).otherwise(F.concat(F.lit("k"), (F.col("id") % 4).cast("string")))
+    df = spark.range(3001).select(key.alias("key"), number.alias("number"), order.alias("at"))
+    got = seg.position(df, keys, ["at"], "place", 150)
+    assert len(seg.cut_points(df, ["at"], 150)) > 64
+    groups = {}
+    for r in sorted(got.collect(), key=lambda r: r["number"]):
+        groups.setdefault(r["key"] if keys else None, []).append(r["place"])
+    assert all(places == list(range(len(places))) for places in groups.values())

@@ -12,11 +12,6 @@ from crystalflow.operators import frames, selection, skew
 from crystalflow.plans import dump
 
 
-@pytest.fixture(autouse=True)
-def no_table_is_small(monkeypatch):
-    monkeypatch.setattr(skew, "SMALL_TABLE", 0)
-
-
 @pytest.fixture(scope="module")
 def rows(spark):
     key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 31 == 1, F.lit(None)).otherwise(100 + F.col("id") % 900)
@@ -32,13 +27,23 @@ def bag(df):
     return Counter(tuple(r) for r in df.select("key", "id", *[c for c in df.columns if c == "total"]).collect())
 
 
-def test_frequent_keys_are_found(spark, rows, monkeypatch):
+def test_frequent_keys_are_found(spark, rows):
     found = skew.frequent_keys(rows, ["key"])
     hot = rows.where("key = 7").select(skew._hash(["key"])).first()[0]
-    assert hot in found and len(found) <= 64
-    monkeypatch.setattr(skew, "SMALL_TABLE", 10_000)
-    assert skew.frequent_keys(rows, ["key"]) == []
+    assert found == [hot]
     assert skew.frequent_keys(spark.range(50).withColumnRenamed("id", "key"), ["key"]) == []
+    assert skew.frequent_keys(rows.limit(0), ["key"]) == []
+
+
+def test_rarer_keys_count_with_more_partitions(spark):
+    """With 100 partitions a key of one per cent fills two of them."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 100 == 0, -1).otherwise(F.col("id")).alias("key"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        assert skew.frequent_keys(df, ["key"]) == [df.where("key = -1").select(skew._hash(["key"])).first()[0]]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
