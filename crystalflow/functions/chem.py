@@ -226,3 +226,9 @@ def cross_compatible(elements: Column, source: str) -> Column:
     """False when an element of the source's blocklist is present."""
     blocked = F.array(*[F.lit(e) for e in S.INCOMPATIBLE_ELEMENTS[source]])
     return ~F.arrays_overlap(elements, blocked)
+
+
+def extensive(per_atom: str | Column, nsites: str | Column) -> Column:
+    """A quantity per atom as the whole cell's."""
+    value, sites = (F.col(c) if isinstance(c, str) else c for c in (per_atom, nsites))
+    return value * sites

@@ -46,6 +46,12 @@ def iso_day(text: Column) -> Column:
     return F.date_trunc("day", F.try_to_timestamp(text))
 
 
+def composite_id(*parts: str | Column) -> Column:
+    """The parts joined by dashes; null parts are left out."""
+    columns = [F.col(p) if isinstance(p, str) else p for p in parts]
+    return F.concat_ws("-", *[c.cast("string") for c in columns])
+
+
 def month_year(text: Column) -> Column:
     """``<b>November, 2023</b>`` as the first of that month; null if unparsable."""
     bare = F.regexp_replace(text, r"<[^>]+>", "")

@@ -210,3 +210,8 @@ def slice_by_key(
     if end is not None:
         kept = kept & (F.col("_position") < end)
     return placed.where(kept).drop("_position")
+
+
+def count_by_kind(df: DataFrame, kind: str) -> DataFrame:
+    """(kind, n_rows): how many rows there are of each kind."""
+    return df.groupBy(F.col(kind).alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -97,10 +97,10 @@ def curate_structures(
         "chemical_formula_descriptive": F.col("composition_id"),
         "nelements": F.col("ntypes"),
         "nsites": F.col("nsites"),
-        "energy": F.col("energy_pa") * F.col("nsites"),
+        "energy": chem.extensive("energy_pa", "nsites"),
         "band_gap_indirect": F.col("band_gap"),
         "immutable_id": identity,
-        "id": F.concat_ws("-", identity, F.lit(FUNCTIONAL)),
+        "id": text.composite_id(identity, F.lit(FUNCTIONAL)),
         "last_modified": F.current_date() if as_of is None else as_of,
         "cross_compatibility": text.spin_polarised(F.col("settings"))
         & F.coalesce(chem.cross_compatible(derived["elements"], SOURCE), F.lit(False)),
@@ -200,7 +200,7 @@ def curate_trajectories(
         "nsites": F.size("species_at_sites"),
         "energy": F.when(F.col("is_output"), F.col("calc_energy")).otherwise(F.col("energy")),
         "immutable_id": F.col("identity"),
-        "id": F.concat_ws("-", F.col("identity"), F.lit(FUNCTIONAL), F.col("suffix")),
+        "id": text.composite_id("identity", F.lit(FUNCTIONAL), "suffix"),
         "last_modified": F.current_date() if as_of is None else as_of,
         "cross_compatibility": spin & allowed if apply_blocklist else spin,
         "relaxation_number": F.col("relaxation_number"),

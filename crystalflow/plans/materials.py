@@ -95,7 +95,7 @@ def curate_structures(
         **common.periodicity(),
         **shape,
         "chemical_formula_descriptive": F.col("descriptive"),
-        "id": F.concat_ws("-", "material_id", "functional"),
+        "id": text.composite_id("material_id", "functional"),
         "source": F.lit(SOURCE),
         "immutable_id": F.col("material_id"),
         "last_modified": text.iso_day(F.col("build_date")),
@@ -190,7 +190,7 @@ def curate_trajectories(
         **common.geometry(F.col("step.structure")),
         "chemical_formula_descriptive": _descriptive("step.structure"),
         # the id is completed once the frame has its number
-        "id": F.concat_ws("-", "material_id", "trajectory_number", "functional"),
+        "id": text.composite_id("material_id", "trajectory_number", "functional"),
         "source": F.lit(SOURCE),
         "immutable_id": F.col("material_id"),
         "last_modified": text.iso_day(F.col("updated")),
@@ -202,17 +202,25 @@ def curate_trajectories(
         "relaxation_number": F.col("relaxation_number"),
         "relaxation_step": F.col("step_pos"),
     }
-    checks = steps.withColumn(
-        "_converged", ~selection.used_all_steps(F.size("step.electronic_steps"), F.col("nelm"))
+    counted = F.col("step.electronic_steps").isNotNull() | F.col("nelm").isNull()
+    checks = steps.withColumns(
+        {
+            # a step that lacks one of these is no frame, and takes no number
+            "_whole": F.col("step.forces").isNotNull() & F.col("step.stress").isNotNull() & counted,
+            "_converged": ~selection.used_all_steps(F.size("step.electronic_steps"), F.col("nelm")),
+        }
     )
     rows = common.fill(
-        checks, columns, S.FRAME, keep=("task_id", "trajectory_number", "step_pos", "_converged")
+        checks, columns, S.FRAME, keep=("task_id", "trajectory_number", "step_pos", "_whole", "_converged")
     )
     classified = quality.classify(
         rows,
         frames=True,
-        extra=[quality.Rule("electronic_steps_exhausted", "source", F.col("_converged"))],
-    ).drop("_converged")
+        extra=[
+            quality.Rule("frame_keys_missing", "source", F.col("_whole")),
+            quality.Rule("electronic_steps_exhausted", "source", ~F.col("_whole") | F.col("_converged")),
+        ],
+    ).drop("_whole", "_converged")
 
     trajectory = ["task_id", "immutable_id", "functional", "trajectory_number"]
     numbered = frames.number_frames(
@@ -223,7 +231,7 @@ def curate_trajectories(
     ).withColumns(
         {
             "relaxation_step": F.col("relaxation_step").cast("int"),
-            "id": F.concat_ws("-", "id", "relaxation_step"),
+            "id": text.composite_id("id", "relaxation_step"),
         }
     )
     corrected = frames.carry_correction(

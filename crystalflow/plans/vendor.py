@@ -71,7 +71,7 @@ def curate_structures(
     rows = fan_out(raw)
     columns = {c: F.col(c) for c in rows.columns if c in common.STRUCTURE_COLUMNS}
     columns |= {
-        "id": F.concat_ws("-", "document_id", "functional"),
+        "id": text.composite_id("document_id", "functional"),
         "source": F.lit(SOURCE),
         "last_modified": F.try_to_timestamp("last_modified"),
         "cross_compatibility": chem.cross_compatible(F.col("elements"), SOURCE),
@@ -118,7 +118,7 @@ def curate_trajectories(
         **common.chemistry_of_sites(),
         **common.periodicity(),
         **shape,
-        "id": F.concat_ws("-", F.col("document_id"), functional, F.col("frame_no").cast("string")),
+        "id": text.composite_id("document_id", functional, "frame_no"),
         "source": F.lit(SOURCE),
         "immutable_id": F.col("document_id"),
         "last_modified": F.col("last_modified"),

@@ -160,7 +160,7 @@ def curate_material_structures(t: Tables) -> DataFrame:
              CASE WHEN NOT (i = 1 AND nation = 7) THEN -c_acctbal / 1000 - i * 0.25::DOUBLE - calc * 0.125::DOUBLE
                + CASE WHEN i = 0 AND nation > 15 AND calc = 0 THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END END AS energy,
              i = 0 AND nation = 8 AS no_forces
-      FROM steps WHERE nelm IS NULL OR i + 3 <> nelm),
+      FROM steps WHERE (nelm IS NULL OR i + 3 <> nelm) AND NOT (i = 0 AND nation = 8)),
     usable AS (
       SELECT *, last_value(energy / 2) OVER w AS last_energy, last_value(step) OVER w AS last_step
       FROM frames WHERE energy IS NOT NULL AND NOT no_forces

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crystalflow.functions import arrays
+from crystalflow.functions import arrays, chem
 from crystalflow.operators import frames, segments
 from crystalflow.plans import dump
 from crystalflow.queries import Tables, query, roles
@@ -310,5 +310,5 @@ def null_if_any_null(t: Tables) -> DataFrame:
 )
 def energy_extensive(t: Tables) -> DataFrame:
     return t.lineitem.select(
-        *_line_key((-F.col("l_extendedprice") / 1000 * F.col("l_quantity")).alias("energy"))
+        *_line_key(chem.extensive(-F.col("l_extendedprice") / 1000, "l_quantity").alias("energy"))
     )

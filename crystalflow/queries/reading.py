@@ -220,10 +220,8 @@ def composite_id(t: Tables) -> DataFrame:
     number = F.col("l_linenumber") - 1
     return roles.tasks(t).select(
         "task_id",
-        F.concat_ws("-", "material_id", functional).alias("structure_id"),
-        F.concat_ws("-", "material_id", number.cast("string"), functional, F.col("nsites").cast("string")).alias(
-            "frame_id"
-        ),
+        text.composite_id("material_id", functional).alias("structure_id"),
+        text.composite_id("material_id", number, functional, "nsites").alias("frame_id"),
     )
 
 
@@ -308,11 +306,11 @@ v_vendor AS (
     f"""WITH {_VENDOR}
     SELECT document_id, functional, complete, round(energy, 6) AS energy,
            CAST(list_sum(ns) AS INTEGER) AS nsites, array_to_string(list_sort(els), ',') AS elements
-    FROM v_vendor WHERE functional IS DISTINCT FROM 'scan'"""
+    FROM v_vendor"""
 )
 def key_mapping(t: Tables) -> DataFrame:
     mapped = vendor.fan_out(vendor_documents(t))
-    return mapped.where("functional IS DISTINCT FROM 'scan'").select(
+    return mapped.select(
         "document_id",
         "functional",
         "complete",

@@ -237,7 +237,7 @@ def slice_by_key(t: Tables) -> DataFrame:
 
 @query("SELECT event_type AS kind, count(*) AS n_rows FROM events GROUP BY event_type")
 def count_by_kind(t: Tables) -> DataFrame:
-    return t.events.groupBy(F.col("event_type").alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return selection.count_by_kind(t.events, "event_type")
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from crystalflow.operators import ledger, upsert
+from crystalflow.operators import ledger, selection, upsert
 from crystalflow.queries import Tables, query, roles
 from crystalflow.sources import listing
 
@@ -42,13 +42,10 @@ def file_order(t: Tables) -> DataFrame:
     FROM orders GROUP BY 1"""
 )
 def max_modified(t: Tables) -> DataFrame:
-    kinds = t.orders.groupBy(
-        F.when(F.col("o_orderstatus") == "F", "finished").otherwise("open").alias("kind")
-    )
-    return kinds.agg(
-        F.date_format(F.max(F.date_trunc("day", "o_orderdate")), "yyyy-MM-dd").alias("version"),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
+    kinds = t.orders.withColumn("kind", F.when(F.col("o_orderstatus") == "F", "finished").otherwise("open"))
+    latest = listing.latest_modified(kinds, "o_orderdate", by=["kind"])
+    counted = selection.count_by_kind(kinds, "kind")
+    return latest.join(counted, "kind").select("kind", F.date_format("latest", "yyyy-MM-dd").alias("version"), "n_rows")
 
 
 @query("SELECT strftime(max(o_orderdate), '%Y-%m-%d') AS version FROM orders")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crystalflow.functions import text
@@ -49,9 +51,9 @@ def oldest_first(
     return numbered.where(F.col("file_no") >= offset)
 
 
-def latest_modified(listing: DataFrame, modified: str = "last_modified") -> DataFrame:
-    """One row: the latest modification day, null for an empty listing."""
-    return listing.agg(F.max(F.date_trunc("day", modified)).alias("latest"))
+def latest_modified(listing: DataFrame, modified: str = "last_modified", by: Sequence[str] = ()) -> DataFrame:
+    """The latest modification day: one row, null for an empty listing, or one per value of ``by``."""
+    return listing.groupBy(*by).agg(F.max(F.date_trunc("day", modified)).alias("latest"))
 
 
 def latest_collection(prefixes: DataFrame, sub_prefix: str, prefix: str = "prefix") -> DataFrame:
