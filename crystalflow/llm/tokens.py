@@ -42,7 +42,7 @@ WORD_END = Splitter(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_WS}\p{{L}}\p
 
 RUNS = rf"{_SPACE}*{_OTHER}+|{_SPACE}+"
 ENTANGLED = rf"(?:^|{_SPACE}) (?:{_SPACE}|$)"  # a space whose two sides are white space
-_MARKS = frozenset(".,;:!?")
+MARKS = frozenset(".,;:!?")
 
 
 def byte_letters() -> dict[int, str]:
@@ -124,7 +124,7 @@ class WordEncoder:
                 return array("I", [t.id for t in self.model(spelled)]).tobytes()
             if self.normalize is None:
                 return self._word(self.space + piece)
-        elif piece[-1:] in _MARKS and piece[:-1].lower().isalpha():  # a word and one mark: two words to every pattern
+        elif piece[-1:] in MARKS and piece[:-1].lower().isalpha():  # a word and one mark: two words to every pattern
             return self.led[piece[:-1]] + self.bare[piece[-1]]
         return self._ids(self.space + piece)
 

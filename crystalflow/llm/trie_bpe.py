@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from crystalflow.llm.helpers import chunks, id_and_text
-from crystalflow.llm.tokens import BYTE_LEVEL, RUNS, byte_letters, packed, specials
+from crystalflow.llm.tokens import BYTE_LEVEL, ENTANGLED, MARKS, RUNS, byte_letters, packed, specials
 
 class Vocabulary:
     """Tokens and merges of a byte-level BPE tokenizer file."""
@@ -44,7 +44,6 @@ class Vocabulary:
             token = self.ids[self.bytes[left] + self.bytes[right]]
             self.merges[left, right] = (rank, token)
             self.made.setdefault(token, (rank, left, right))
-        self._beside: dict[tuple[int, int], bool] = {}
 
     def beside(self, left: int, right: int) -> bool:
         """True if BPE leaves ``left`` next to ``right``: no merge reaches across the border.
@@ -53,58 +52,81 @@ class Vocabulary:
         the two tokens at the border must not have merged before the next merge
         on either side took place.
         """
-        key = (left, right)
-        if (known := self._beside.get(key)) is not None:
-            return known
         until = len(self.merges) * 2  # merges up to here (half ranks: 2 r, + 1 if at the right) have been done
         while True:
             across = self.merges.get((left, right))
             if across is not None and 2 * across[0] < until:
-                result = False
-                break
+                return False
             on_left, on_right = self.made.get(left), self.made.get(right)
             if on_left is None and on_right is None:
-                result = True
-                break
+                return True
             if on_right is None or on_left is not None and on_left[0] > on_right[0]:
                 until, left = 2 * on_left[0], on_left[2]
             else:  # of equal merges the one further left comes first
                 until, right = 2 * on_right[0] + 1, on_right[1]
-        self._beside[key] = result
-        return result
 
 
-RUNS_KEPT = 250_000
+PIECES_KEPT = 200_000
+CHUNK = 4 << 20  # bytes of text whose new words share one trie
+
+
+class Generations(dict):
+    """Values of pieces, in two generations of at most about ``keep``."""
+
+    def __init__(self, keep: int):
+        super().__init__()
+        self.keep, self.old = keep, {}
+
+    def lacking(self, pieces: set[str]) -> set[str]:
+        """Those of ``pieces`` without a value; all others can be looked up until the next call."""
+        lack = pieces.difference(self)
+        if len(self) + len(lack) > self.keep and self:
+            self.old = dict(self)
+            self.clear()
+            lack = pieces
+        again = lack & self.old.keys()
+        self.update((piece, self.old[piece]) for piece in again)
+        return lack - again
 
 
 class TrieEncoder:
-    """Encodes whole texts; remembers up to ``keep`` distinct space-led runs per task."""
+    """Encodes whole texts; remembers distinct pieces between spaces for a task."""
 
-    def __init__(self, path: str, keep: int = RUNS_KEPT):
+    def __init__(self, path: str, keep: int = PIECES_KEPT):
         self.vocabulary = Vocabulary(path)
         self.runs = re.compile(RUNS).findall
+        self.entangled = re.compile(ENTANGLED).search
         self.words = regex.compile(BYTE_LEVEL.words).findall
         names = [t.decode() for t in self.vocabulary.special]
         self.has_special = specials(names)
         self.special = re.compile("|".join(map(re.escape, names)) or r"(?!)")
-        self.keep = keep
-        self.ids: dict[str, bytes] = {}
+        self.led = Generations(keep)  # pieces, without the space before them
+        self.bare = Generations(max(1, keep // 8))  # pieces as they are
+        self.pairs: dict[tuple[int, int], bool] = {}  # which tokens may stand side by side, as far as asked
 
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
         """The packed ids of each distinct word, by a depth-first walk of their trie."""
         v = self.vocabulary
-        tokens, longest, beside = v.ids, v.longest, v.beside
+        tokens, longest, beside, known = v.ids, v.longest, v.beside, self.pairs
         last, before = [-1], b""  # last token by depth, and the word it stands for
         out = {}
         for word in sorted(words):
             shared = _shared(before, word)
             del last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
+                for start in range(end - longest if end > longest else 0, end):
                     token = tokens.get(word[start:end])
-                    if token is not None and (start == 0 or beside(last[start], token)):
-                        last.append(token)
-                        break
+                    if token is None:
+                        continue
+                    if start:
+                        pair = (last[start], token)
+                        fits = known.get(pair)
+                        if fits is None:
+                            fits = known[pair] = beside(*pair)
+                        if not fits:
+                            continue
+                    last.append(token)
+                    break
                 else:
                     raise ValueError(f"no encoding of {word!r}")
             ids, at = [], len(word)
@@ -128,22 +150,39 @@ class TrieEncoder:
             at = found.end()
         return parts + [w.encode() for w in self.words(run[at:])]
 
+    def _learn(self, known: Generations, pieces: set[str], space: str) -> None:
+        """Encode the pieces that are not known, all in one trie."""
+        parts: dict[str, list[bytes | int]] = {}
+        for piece in known.lacking(pieces):
+            if piece.isalpha():
+                parts[piece] = [(space + piece).encode()]
+            elif piece[-1:] in MARKS and piece[:-1].isalpha():  # a word and one mark
+                parts[piece] = [(space + piece[:-1]).encode(), piece[-1].encode()]
+            else:
+                parts[piece] = self._parts(space + piece)
+        words = self.encode_words({p for ps in parts.values() for p in ps if isinstance(p, bytes)})
+        for piece, ps in parts.items():
+            known[piece] = b"".join([words[p] if isinstance(p, bytes) else packed([p]) for p in ps])
+
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text; none for null."""
-        split = [self.runs(t) if t else [] for t in texts]
-        new = set()
-        for runs in split:
-            new.update(runs)
-        if len(self.ids) + len(new) > self.keep:
-            self.ids.clear()
-        else:
-            new.difference_update(self.ids)
-        parts = {run: self._parts(run) for run in new}
-        words = self.encode_words({p for ps in parts.values() for p in ps if isinstance(p, bytes)})
-        for run, ps in parts.items():
-            self.ids[run] = b"".join(words[p] if isinstance(p, bytes) else packed([p]) for p in ps)
-        known = self.ids.__getitem__
-        return [b"".join(map(known, runs)) for runs in split]
+        bare: list[list[str]] = []
+        led: list[list[str]] = []
+        for text in texts:
+            if not text:
+                bare.append([])
+                led.append([])
+            elif self.entangled(text):
+                bare.append(self.runs(text))
+                led.append([])
+            else:
+                first, *rest = text.split(" ")
+                bare.append([first])
+                led.append(rest)
+        self._learn(self.bare, set().union(*bare), "")
+        self._learn(self.led, set().union(*led), " ")
+        plain, spaced = self.bare.__getitem__, self.led.__getitem__
+        return [b"".join(map(plain, x)) + b"".join(map(spaced, y)) for x, y in zip(bare, led, strict=True)]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
@@ -174,7 +213,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TrieEncoder(tokenizer)
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=CHUNK):
             encoded = encoder.encode(batch.column("text").to_pylist())
             columns, names = [batch.column("id"), _id_lists(encoded)], [id_col, "ids"]
             if decoded:
