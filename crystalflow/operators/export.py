@@ -126,11 +126,9 @@ def cap_rows(
     if max_rows < 0:
         return df
     if seed is None:
-        placed = seg.position(df, [], [key], "_position", segments)
-        return placed.where(F.col("_position") < max_rows).drop("_position")
+        return seg.between(df, [key], 0, max_rows, segments)
     shuffled = df.withColumn("_shuffle", F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string"))))
-    placed = seg.position(shuffled, [], ["_shuffle", key], "_position", segments)
-    return placed.where(F.col("_position") < max_rows).drop("_position", "_shuffle")
+    return seg.between(shuffled, ["_shuffle", key], 0, max_rows, segments).drop("_shuffle")
 
 
 def chunked(

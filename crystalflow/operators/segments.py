@@ -195,6 +195,37 @@ def position(
     return counted.withColumn(name, F.col(name) - 1)
 
 
+def between(
+    df: DataFrame, order: Sequence[str | Column], start: int, end: int | None = None, segments: int | None = None
+) -> DataFrame:
+    """Rows at positions ``[start, end)`` of the whole table in ``order``.
+
+    Rows are counted per segment; segments wholly inside are kept as they are,
+    and only the one or two at the borders are sorted.
+    """
+    columns = df.columns
+    tagged, several = _split(df, order, segments)
+    counts = sorted(map(tuple, tagged.groupBy(SEGMENT).agg(F.count(F.lit(1))).collect())) if several else [(0, None)]
+    inside, border, base = [], {}, 0
+    for number, n in counts:  # at most one row per segment
+        past = None if n is None else base + n
+        if past is not None and start <= base and (end is None or past <= end):
+            inside.append(number)
+        elif (past is None or start < past) and (end is None or base < end):
+            border[number] = base
+        base = past
+    here = Window.partitionBy(SEGMENT).orderBy(*_columns(tagged, order))
+    first = F.lit(0)
+    for number, at in border.items():
+        first = F.when(F.col(SEGMENT) == number, F.lit(at)).otherwise(first)
+    place = F.row_number().over(here) - 1 + first
+    edge = tagged.where(F.col(SEGMENT).isin(list(border))).withColumn("_place", place)
+    edge = edge.where((F.col("_place") >= start) & (F.lit(True) if end is None else F.col("_place") < end)).select(*columns)
+    if not inside:
+        return edge
+    return tagged.where(F.col(SEGMENT).between(inside[0], inside[-1])).select(*columns).unionByName(edge)
+
+
 def carried_first(
     df: DataFrame,
     keys: Sequence[str],

@@ -200,16 +200,13 @@ def slice_by_key(
     """Rows at positions ``[offset, offset + limit)`` of the ordered table.
 
     ``max_offset`` is an exclusive bound on the position. Any offset and limit
-    stay distributed: rows are counted per segment, not pulled into one task.
+    stay distributed: rows are counted per segment, and only those of border
+    segments are sorted.
     """
     end = None if limit is None else offset + limit
     if max_offset is not None:
         end = max_offset if end is None else min(end, max_offset)
-    placed = seg.position(df, [], order, "_position", segments)
-    kept = F.col("_position") >= offset
-    if end is not None:
-        kept = kept & (F.col("_position") < end)
-    return placed.where(kept).drop("_position")
+    return seg.between(df, order, offset, end, segments)
 
 
 def count_by_kind(df: DataFrame, kind: str) -> DataFrame:

@@ -139,3 +139,11 @@ def test_many_segments_on_other_order_types(spark, kind, keys):
     for r in sorted(got.collect(), key=lambda r: r["number"]):
         groups.setdefault(r["key"] if keys else None, []).append(r["place"])
     assert all(places == list(range(len(places))) for places in groups.values())
+
+
+@pytest.mark.parametrize("segments", [1, 7, 64, 200])
+@pytest.mark.parametrize("start, end", [(0, 10), (0, 0), (37, 640), (1190, None), (0, None), (5000, 6000)])
+def test_between_equals_a_slice(table, rows, segments, start, end):
+    got = seg.between(table, ["at", "id"], start, end, segments)
+    assert got.columns == table.columns
+    assert sorted(r["id"] for r in got.collect()) == sorted(r[2] for r in sorted(rows, key=lambda r: (r[1], r[2]))[start:end])
