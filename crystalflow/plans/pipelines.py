@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from crystalflow import schema as S
-from crystalflow.operators import export as ex, ledger, quality, scratch, selection, upsert
+from crystalflow.functions import text
+from crystalflow.operators import export as ex, files, ledger, quality, scratch, selection, upsert
 from crystalflow.plans import dump, materials, vendor
-from crystalflow.sources import documents, listing
+from crystalflow.sources import documents, links, listing
 
 StructureJob = Callable[..., DataFrame]
 TrajectoryJob = Callable[..., tuple[DataFrame, DataFrame]]
@@ -67,6 +68,7 @@ def ingest(
 ) -> str:
     """Fetch new JSON-lines files into the raw table; returns the new version.
 
+    For dated collections ``path`` is what :func:`listing.latest_collection_path` gives.
     Files older than the ledger's version are skipped. The new version is the
     latest modification day seen, today when nothing was found. Lines without
     a usable document go to the table ``<table_path>_rejects``.
@@ -86,6 +88,73 @@ def ingest(
     return fresh
 
 
+def ingest_keyed(
+    spark: SparkSession,
+    path: str,
+    table_path: str,
+    ledger_path: str,
+    dataset: str,
+    offset: int = 0,
+    buckets: int | None = 64,
+) -> str:
+    """Fetch new keyed files into a raw trajectory table; returns the new version.
+
+    A row's key is its id and file: a file that comes again replaces its rows,
+    and files of other functionals keep theirs.
+    """
+    objects = listing.list_objects(spark, path).where(F.col("path").rlike(r"\.json(\.[a-z0-9]+)?$"))
+    version = ledger.read_version(spark, ledger_path, dataset)
+    due = listing.oldest_first(listing.modified_since(objects, version), offset)
+    paths = [r["path"] for r in due.select("path", "file_no").orderBy("file_no").toLocalIterator()]
+    if paths:
+        rows = documents.read_keyed_json(spark, paths).withColumn("key", text.composite_id("id", "path"))
+        upsert.write_upsert(rows, table_path, "key", [F.col("last_modified").desc()], buckets=buckets)
+    fresh = ledger.new_version(objects).first()["version"]
+    ledger.write_version(spark, ledger_path, dataset, fresh)
+    return fresh
+
+
+def ingest_pages(
+    spark: SparkSession,
+    source: str,
+    table_path: str,
+    ledger_path: str,
+    dataset: str,
+    options: Mapping[str, str] | None = None,
+    buckets: int | None = 64,
+) -> str:
+    """Fetch all documents of a paged service into the raw table; returns the new version.
+
+    ``source`` is the name a :func:`documents.paged_source` is registered under.
+    Documents not newer than the ledger's version are left out.
+    """
+    served = documents.with_modified(spark.read.format(source).options(**(options or {})).load())
+    pages = scratch.materialise(served)  # each page is asked for once
+    version = ledger.read_version(spark, ledger_path, dataset)
+    due = listing.modified_since(pages, version)
+    upsert.write_upsert(due, table_path, "id", [F.col("last_modified").desc_nulls_last()], buckets=buckets)
+    fresh = ledger.new_version(pages).first()["version"]
+    ledger.write_version(spark, ledger_path, dataset, fresh)
+    return fresh
+
+
+def due_downloads(
+    pages: DataFrame, ledger_path: str, dataset: str, pattern: str | None = None
+) -> DataFrame:
+    """Links of index pages (columns ``url, html``) to files of the ledger's version day or later."""
+    version = ledger.read_version(pages.sparkSession, ledger_path, dataset)
+    found = links.extract_links(pages, pattern)
+    return listing.modified_since(found, version, "last_modified")
+
+
+def due_dumps(dumps: DataFrame, ledger_path: str, dataset: str) -> DataFrame:
+    """Dumps (columns ``url, last_modified``) whose url or date is not the one loaded last."""
+    spark = dumps.sparkSession
+    if not files.has_data(spark, ledger_path):
+        return dumps
+    return ledger.unseen_sources(dumps, spark.read.schema(S.LEDGER).parquet(ledger_path), dataset)
+
+
 def store(
     df: DataFrame, table_path: str, ledger_path: str, dataset: str, partition_by=("source", "functional")
 ) -> str:
