@@ -144,7 +144,10 @@ def _sketch(sets: DataFrame) -> np.ndarray:
 
 
 def _tiles(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Rows (shingle, salt, set_id, n) for the leading shingles of every set, once per task."""
+    """Rows (shingle, salt, set_id, n) for the leading shingles of every set, once per task.
+
+    ``salt`` is 0 but for very common shingles, whose sets are dealt over 1, 2, ...
+    """
     common = sketch.astype(np.uint32 if sketch.max(initial=0) < 2**32 else np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +163,8 @@ def _tiles(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> Dat
                 counts = common[(values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 first = np.lexsort((values, counts))[: leading(len(values), percent)]
                 keys.append(values[first].view(np.int64))
-                salts.append(name % (1 + counts[first].astype(np.int64) // TILE_ROWS))
+                parts = 1 + counts[first].astype(np.int64) // TILE_ROWS
+                salts.append(np.where(parts > 1, 1 + name % parts, 0))
                 names.append(np.full(len(first), name, np.int64))
                 sizes.append(np.full(len(first), len(values), np.int32))
             if keys:
@@ -184,10 +188,9 @@ def _shared_tiles(rows: DataFrame, percent: int) -> DataFrame:
     banded = rows.withColumn("band", _band(percent)).repartition("shingle", "salt")
     order = Window.partitionBy("shingle", "salt", "band").orderBy("set_id")
     once = banded.withColumn("previous", F.lag("set_id").over(order)).where("previous IS NULL OR previous <> set_id")
-    tile = Window.partitionBy("shingle", "salt")
-    counted = once.withColumn("held", F.count(F.lit(1)).over(tile)).withColumn("dealt", F.max("salt").over(tile))
+    counted = once.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("shingle", "salt")))
     # a shingle dealt over several tasks is common, and counts as shared
-    return counted.where("held > 1 OR dealt > 0").select("shingle", "salt", "band", "set_id", "n")
+    return counted.where("held > 1 OR salt > 0").select("shingle", "salt", "band", "set_id", "n")
 
 
 def _central_pairs(tiles: DataFrame) -> DataFrame:

@@ -49,16 +49,19 @@ def _stacked(vectors: pd.Series, width: int) -> np.ndarray:
 def coordinate_candidates(unit: np.ndarray, order: np.ndarray, ranked: np.ndarray, query: np.ndarray, cosine: float) -> np.ndarray:
     """Rows of ``unit`` whose largest-weight coordinates allow a cosine of ``cosine`` with the unit vector ``query``.
 
-    If the cosine is t, a coordinate q of the query confines the candidate's to
-    q t +- sqrt((1 - q^2)(1 - t^2)). ``order`` and ``ranked`` hold the sorted
-    list of each coordinate.
+    If the cosine is t or more, a coordinate q of the query confines the
+    candidate's to q t +- sqrt((1 - q^2)(1 - t^2)); where q alone reaches t the
+    range goes on to 1, and where -q does it goes on to -1. ``order`` and
+    ``ranked`` hold the sorted list of each coordinate.
     """
     focus = np.argsort(-np.abs(query), kind="stable")[:COORDINATES]
-    centre = query[focus] * cosine
-    reach = np.sqrt(np.maximum(0.0, (1 - query[focus] ** 2) * (1 - cosine**2))) + _SLACK
+    own = query[focus]
+    reach = np.sqrt(np.maximum(0.0, (1 - own**2) * (1 - cosine**2))) + _SLACK
+    lowest = np.where(-own >= cosine - _SLACK, -2.0, own * cosine - reach)
+    highest = np.where(own >= cosine - _SLACK, 2.0, own * cosine + reach)
     hits = np.zeros(len(unit), np.int8)
-    for f, c, r in zip(focus, centre, reach, strict=True):
-        low, high = np.searchsorted(ranked[f], (c - r, c + r + _SLACK))
+    for f, bounds in zip(focus, zip(lowest, highest, strict=True), strict=True):
+        low, high = np.searchsorted(ranked[f], bounds)
         hits[order[f, low:high]] += 1
     return np.flatnonzero(hits == len(focus))
 

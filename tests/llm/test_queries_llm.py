@@ -16,7 +16,7 @@ from compare import connect, differences
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from crystalflow.llm import queries
+from crystalflow.llm import jaccard, queries
 
 SMALL = driver.SMALL
 QUERIES = queries.QUERIES
@@ -164,7 +164,9 @@ def jaccard_components(texts):
     return {k: (len(s), find(k)) for k, s in sets.items()}
 
 
-def test_op9(spark, texts):
+@pytest.mark.parametrize("tile_rows", [jaccard.TILE_ROWS, 2])
+def test_op9(spark, texts, tile_rows, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE_ROWS", tile_rows)
     rows = QUERIES["op9_jaccard"](spark, SMALL).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == jaccard_components(texts)
 
