@@ -105,7 +105,7 @@ def test_coordinates_keep_every_close_vector():
             assert set(close) <= set(top_k.coordinate_candidates(unit, order, ranked, query, cosine))
 
 
-@pytest.mark.parametrize("scale", [1, 10**9])
+@pytest.mark.parametrize("scale", [1, 10**6])
 def test_top_k_equals_brute_force(spark, scale):
     draw = np.random.default_rng(6)
     lengths = np.concatenate([np.full(150, 1.0), draw.uniform(0.01, 5, 150)])
@@ -117,8 +117,6 @@ def test_top_k_equals_brute_force(spark, scale):
     expected = {}
     for q in range(0, 300, 7):
         scores = sorted((-int(whole[q] @ whole[c]), c) for c in range(300) if c != q)
-        if max(abs(s) for s, _ in scores) >= 2**63:
-            return  # beyond what a score can hold
         expected[q] = [(c, -s) for s, c in scores[:5]]
     found = {}
     for r in sorted(got, key=lambda r: r["rank"]):
