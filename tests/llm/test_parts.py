@@ -113,7 +113,7 @@ def test_top_k_equals_brute_force(spark, scale):
     vectors[200:230] = vectors[10]
     frame = spark.createDataFrame(pd.DataFrame({"vec_id": range(300), "embedding": vectors.tolist()}))
     got = top_k.top_k(frame, F.col("vec_id") % 7 == 0, 5, factor=16, bucket_rows=40, query_rows=9).collect()
-    whole = np.floor(vectors * 16).astype(object)
+    whole = np.floor(vectors * 16).astype(np.int64).astype(object)
     expected = {}
     for q in range(0, 300, 7):
         scores = sorted((-int(whole[q] @ whole[c]), c) for c in range(300) if c != q)
