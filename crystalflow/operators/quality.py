@@ -207,10 +207,13 @@ def classify(
     frames: bool = False,
     families: Sequence[str] | None = None,
     extra: Sequence[Rule] = (),
+    barrier: bool = True,
 ) -> DataFrame:
     """Normalise and add ``reasons``.
 
     ``families`` restricts the rules used, ``extra`` adds source-specific ones.
+    Filters stay above the counts taken here; ``barrier=False`` leaves them out,
+    so that a later filter on ``source`` or ``functional`` reaches the scan.
     """
     chosen = [
         r
@@ -218,6 +221,8 @@ def classify(
         if (r.frames if frames else r.structures) and (families is None or r.family in families)
     ]
     judged = normalise(df).withColumn(REASONS, reasons([*chosen, *extra]))
+    if not barrier:
+        return judged
     # The counts also keep filters on ``reasons`` above this point. Pushed below,
     # such a filter would repeat the work of every column the rules look at.
     bad = F.count(F.when(F.size(REASONS) > 0, 1))

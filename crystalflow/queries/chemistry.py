@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from crystalflow import schema as S
 from crystalflow.functions import chem, text
 from crystalflow.operators import correction
 from crystalflow.operators.export import json_with_nulls
@@ -29,6 +30,11 @@ def _sites(t: Tables) -> DataFrame:
     return roles.formulas(t).withColumn("sites", sites)
 
 
+def _names(values) -> str:
+    """A list of names in SQL."""
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
 @query(
     f"""WITH {_COMPOSED}
     SELECT p_partkey, array_to_string(els, ',') AS elements, len(els) AS nelements,
@@ -119,9 +125,9 @@ def species_json(t: Tables) -> DataFrame:
 
 @query(
     f"""WITH {roles.FORMULAS}
-    SELECT p_partkey, NOT list_has_any(els, ['V', 'Cs']) AS mp, NOT list_has_any(els, ['Yb']) AS alexandria,
-           NOT list_has_any(els, ['Yb','W','Tl','Eu','Ce','Rh','Ru','Mo','Mn','Cr','V','Ti','Ca'])
-             AND p_size >= 25 AS oqmd
+    SELECT p_partkey, NOT list_has_any(els, {_names(S.INCOMPATIBLE_ELEMENTS["mp"])}) AS mp,
+           NOT list_has_any(els, {_names(S.INCOMPATIBLE_ELEMENTS["alexandria"])}) AS alexandria,
+           NOT list_has_any(els, {_names(S.INCOMPATIBLE_ELEMENTS["oqmd"])}) AND p_size >= 25 AS oqmd
     FROM v_formulas"""
 )
 def cross_compat(t: Tables) -> DataFrame:
@@ -153,14 +159,14 @@ def _values(table: dict[str, float]) -> str:
       FROM v_formulas),
     sums AS (
       SELECT p_partkey, sum(n * coalesce(base.c, 0)) AS plain,
-             sum(n * CASE WHEN el IN ('Co','Cr','Fe','Mn','Mo','Ni','V','W') THEN coalesce(hub.c, 0)
+             sum(n * CASE WHEN list_contains({_names(S.HUBBARD_ELEMENTS)}, el) THEN coalesce(hub.c, 0)
                           ELSE coalesce(base.c, 0) END) AS with_u
       FROM v_elements LEFT JOIN base USING (el) LEFT JOIN hub USING (el) GROUP BY p_partkey)
     SELECT p_partkey, functional, source, round(CASE
              WHEN energy IS NULL OR functional <> 'pbe' THEN energy
-             WHEN list_has_any(els, ['Po', 'At']) THEN NULL
-             WHEN source IN ('mp', 'oqmd') AND list_contains(els, 'V') THEN NULL
-             WHEN list_has_any(els, ['O', 'F']) THEN energy + with_u
+             WHEN list_has_any(els, {_names(S.UNCORRECTABLE_ELEMENTS)}) THEN NULL
+             WHEN list_contains({_names(S.NO_VANADIUM_SOURCES)}, source) AND list_contains(els, 'V') THEN NULL
+             WHEN list_has_any(els, {_names(S.HUBBARD_ANIONS)}) THEN energy + with_u
              ELSE energy + plain END, 6) AS energy_corrected
     FROM parts JOIN sums USING (p_partkey)"""
 )
