@@ -8,6 +8,8 @@
    among the first n - ceil(t n) + 1. The sketch puts common shingles last, so
    that passages many documents share rarely count among them. These shingles
    are the tiles; sizes inside are banded by powers of 1 / t.
+   A pair is met in the tile of its first shared shingle or not at all: there
+   the places of that shingle bound what the two can share.
 3. Each tile's band is compared with its centre, the class that shares most of
    its own leading shingles. The links found give components, and all pairs in
    a tile whose classes are still in different components are compared next.
@@ -43,6 +45,7 @@ SKETCH_BITS = 20
 SKETCH_PIECES = 64
 TILE_ROWS = 50_000  # a shingle counted more often than this is dealt over several tasks
 GROUP_ROWS = 2_000
+FILTER_BITS = 24
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -134,17 +137,19 @@ def _sketch(sets: DataFrame) -> np.ndarray:
 
     schema = "piece int, counts binary"
     given = sets.where("counts IS NOT NULL").select("piece", "counts")
-    # a few pieces per task first, so that no task gets a piece of every other task
-    few = given.withColumn("some", F.pmod(F.xxhash64("counts"), F.lit(16)))
-    once = few.groupBy("piece", "some").applyInPandas(add, schema)
+    # in two steps, so that no task gets a piece of every other task
+    some = given.withColumn("some", F.pmod(F.xxhash64("counts"), F.lit(16)))
+    summed = some.groupBy("piece", "some").applyInPandas(add, schema).groupBy("piece").applyInPandas(add, schema)
     out = np.zeros((SKETCH_PIECES, (1 << SKETCH_BITS) // SKETCH_PIECES), np.int64)
-    for piece, counts in once.collect():  # at most 16 x 64 pieces
-        out[piece] += np.frombuffer(zlib.decompress(counts), np.int64)
+    for piece, counts in summed.collect():  # 64 pieces
+        out[piece] = np.frombuffer(zlib.decompress(counts), np.int64)
     return out.reshape(-1)
 
 
 def _tiles(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Rows (shingle, salt, set_id, n) for the leading shingles of every set, once per task.
+    """Rows (shingle, salt, set_id, n, place) for the leading shingles of every set, once per task.
+
+    ``place`` counts a set's shingles from 0 in the common order.
 
     ``salt`` is 0 but for very common shingles, whose sets are dealt over 1, 2, ...
     """
@@ -153,7 +158,7 @@ def _tiles(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in chunks(batches):
-            keys, salts, names, sizes = [], [], [], []
+            keys, salts, names, sizes, places = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingles(text, width)
                 name = set_name(values.tobytes())
@@ -167,11 +172,14 @@ def _tiles(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> Dat
                 salts.append(np.where(parts > 1, 1 + name % parts, 0))
                 names.append(np.full(len(first), name, np.int64))
                 sizes.append(np.full(len(first), len(values), np.int32))
+                places.append(np.arange(len(first), dtype=np.int32))
             if keys:
-                columns = [pa.array(np.concatenate(c)) for c in (keys, salts, names, sizes)]
-                yield pa.RecordBatch.from_arrays([columns[0], columns[1].cast(pa.int64()), *columns[2:]], names=["shingle", "salt", "set_id", "n"])
+                columns = [pa.array(np.concatenate(c)) for c in (keys, salts, names, sizes, places)]
+                yield pa.RecordBatch.from_arrays(
+                    [columns[0], columns[1].cast(pa.int64()), *columns[2:]], names=["shingle", "salt", "set_id", "n", "place"]
+                )
 
-    return docs.select("text").mapInArrow(run, "shingle long, salt long, set_id long, n int")
+    return docs.select("text").mapInArrow(run, "shingle long, salt long, set_id long, n int, place int")
 
 
 def _band(percent: int) -> Column:
@@ -183,6 +191,16 @@ def _similar_size(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _can_overlap(a: str, b: str, percent: int) -> Column:
+    """Whether two sets can be linked if this tile holds the first shingle they share.
+
+    What they can share then lies from here on, in both. A link is found in the
+    tile of its first shared shingle, so pairs that fail are left to other tiles.
+    """
+    left = F.least(F.col(f"n{a}") - F.col(f"place{a}"), F.col(f"n{b}") - F.col(f"place{b}"))
+    return left * (100 + percent) >= (F.col(f"n{a}") + F.col(f"n{b}")) * percent
+
+
 def _shared_tiles(rows: DataFrame, percent: int) -> DataFrame:
     """The rows of tiles that hold at least two sets, each set once per tile, with their band."""
     banded = rows.withColumn("band", _band(percent)).repartition("shingle", "salt")
@@ -190,16 +208,19 @@ def _shared_tiles(rows: DataFrame, percent: int) -> DataFrame:
     once = banded.withColumn("previous", F.lag("set_id").over(order)).where("previous IS NULL OR previous <> set_id")
     counted = once.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("shingle", "salt")))
     # a shingle dealt over several tasks is common, and counts as shared
-    return counted.where("held > 1 OR salt > 0").select("shingle", "salt", "band", "set_id", "n")
+    return counted.where("held > 1 OR salt > 0").select("shingle", "salt", "band", "set_id", "n", "place")
 
 
-def _central_pairs(tiles: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each tile's band centre with all others in it."""
+def _central_pairs(tiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each tile's band centre with all others in it that it can be linked with."""
     shared = tiles.groupBy("set_id").agg((F.count(F.lit(1)) / F.max("n")).alias("share"))
     rated = tiles.join(shared, "set_id")
-    best = F.max(F.struct("share", "set_id")).over(Window.partitionBy("shingle", "salt", "band"))
-    centred = rated.withColumn("centre", best["set_id"]).where("centre <> set_id")
-    return centred.select(F.least("centre", "set_id").alias("a"), F.greatest("centre", "set_id").alias("b")).distinct()
+    best = F.max(F.struct("share", "set_id", "n", "place")).over(Window.partitionBy("shingle", "salt", "band"))
+    centred = rated.withColumn("centre", best).select(
+        "set_id", "n", "place", *[F.col(f"centre.{c}").alias(f"{c}_c") for c in ("set_id", "n", "place")]
+    )
+    met = centred.where((F.col("set_id") != F.col("set_id_c")) & _can_overlap("", "_c", percent))
+    return met.select(F.least("set_id", "set_id_c").alias("a"), F.greatest("set_id", "set_id_c").alias("b")).distinct()
 
 
 def _other_pairs(tiles: DataFrame, roots: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
@@ -213,11 +234,13 @@ def _other_pairs(tiles: DataFrame, roots: DataFrame, tried: DataFrame, percent:
     marked = left.join(major, "shingle")
     minor = marked.where("root <> major").select(
         "shingle", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-        F.col("set_id").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("root_x"),
+        F.col("set_id").alias("x"), F.col("n").alias("n_x"), F.col("place").alias("place_x"), F.col("root").alias("root_x"),
     )
-    others = marked.select("shingle", "band", F.col("set_id").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("root_y"), "major")
+    others = marked.select(
+        "shingle", "band", "major", *[F.col(c).alias(f"{to}_y" if to else "y") for c, to in (("set_id", ""), ("n", "n"), ("place", "place"), ("root", "root"))]
+    )
     once = (F.col("root_y") == F.col("major")) | (F.col("x") < F.col("y"))
-    met = minor.join(others, ["shingle", "band"]).where((F.col("root_x") != F.col("root_y")) & once & _similar_size("n_x", "n_y", percent))
+    met = minor.join(others, ["shingle", "band"]).where((F.col("root_x") != F.col("root_y")) & once & _can_overlap("_x", "_y", percent))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return pairs.join(tried, ["a", "b"], "left_anti")
 
@@ -238,7 +261,7 @@ def _passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
 
 
-def _exact(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
+def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs that are links, by intersection of their sorted arrays.
 
     Pairs are grouped by the component of the probable links they lie in, a
@@ -250,7 +273,8 @@ def _exact(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     grouped = materialise(
         named.join(sizes, "root").select("a", "b", F.xxhash64("root", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group"))
     )
-    needed = grouped.select("group", F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    needed = materialise(grouped.select("group", F.explode(F.array("a", "b")).alias("set_id")).distinct())
+    arrays = materialise(_arrays(docs, needed.select("set_id").distinct().join(classes.select("set_id", "first"), "set_id"), width))
     fetched = needed.join(arrays, "set_id").select(F.col("group").alias("of"), "set_id", "data")
 
     def run(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -264,9 +288,24 @@ def _exact(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     return grouped.groupBy("group").cogroup(fetched.groupBy("of")).applyInPandas(run, "a long, b long")
 
 
-def _arrays(docs: DataFrame, tiles: DataFrame, classes: DataFrame, width: int) -> DataFrame:
-    """(set_id, data) of all sets that share a tile, from one document of each."""
-    wanted = materialise(tiles.select("set_id").distinct().join(classes.select("set_id", "first"), "set_id").select("set_id", F.col("first").alias("id")))
+def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents whose id may be among ``wanted``: one bit for each of 2^24 slots of the ids' hash, 2 MB in all.
+
+    Spares most texts the way to the join that decides. With very many wanted
+    ids it lets all documents pass.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).cast("long")
+    piece, bit = F.bitmap_bucket_number(slot).alias("piece"), F.bitmap_bit_position(slot)
+    bits = wanted.groupBy(piece).agg(F.bitmap_construct_agg(bit).alias("marks"))  # at most 512 rows of 4 kB
+    placed = docs.withColumns({"piece": piece, "bit": bit})
+    byte = F.conv(F.hex(F.substring("marks", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.floor(byte / F.pow(F.lit(2), F.col("bit") % 8)) % 2 == 1
+    return placed.join(F.broadcast(bits), "piece").where(marked).select(*docs.columns)
+
+
+def _arrays(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(set_id, data) of the sets in ``wanted`` (set_id, first), each from the text of one document."""
+    wanted = materialise(wanted.select("set_id", F.col("first").alias("id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -278,7 +317,7 @@ def _arrays(docs: DataFrame, tiles: DataFrame, classes: DataFrame, width: int) -
                 [pa.array([n for n, _ in kept], pa.int64()), pa.array([d for _, d in kept], pa.binary())], names=["set_id", "data"]
             )
 
-    return docs.join(wanted, "id").select("set_id", "text").mapInArrow(run, "set_id long, data binary")
+    return _likely(docs, wanted).join(wanted, "id").select("set_id", "text").mapInArrow(run, "set_id long, data binary")
 
 
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> Links:
@@ -298,12 +337,11 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.min("n_shingles").alias("n"), F.min("id").alias("first"), F.min("bits").alias("bits"))
     )
     tiles = materialise(_shared_tiles(_tiles(docs, _sketch(sets), width, percent), percent))
-    arrays = materialise(_arrays(docs, tiles, classes, width))
-    tried = materialise(_central_pairs(tiles))
-    links = materialise(_exact(materialise(_passing(tried, classes, percent)), arrays, percent))
+    tried = materialise(_central_pairs(tiles, percent))
+    links = materialise(_exact(materialise(_passing(tried, classes, percent)), docs, classes, width, percent))
     roots = components(links).select(F.col("node").alias("set_id"), "root")
     more = materialise(_passing(_other_pairs(tiles, roots, tried, percent), classes, percent))
-    links = materialise(links.unionByName(_exact(more, arrays, percent)))
+    links = materialise(links.unionByName(_exact(more, docs, classes, width, percent)))
     roots = materialise(components(links).select(F.col("node").alias("set_id"), "root"))
     return Links(documents, links, roots)
 
