@@ -82,8 +82,8 @@ def write_tokens(
     """Encode every text, append ``end_id`` and write the files to the shared ``folder``.
 
     A null or empty text has the end id alone. Documents with equal ids stand in
-    the order of their texts. Ids must be non-null integers; other columns are
-    not read. Ids take 16 bits if the ``vocabulary`` allows. A task writes
+    the order of their texts. Ids are integers, and rows without one are left
+    out, as nothing could name them; other columns are not read. Ids take 16 bits if the ``vocabulary`` allows. A task writes
     drafts under its own attempt's number and renames them at its end, so a
     repeated or lost attempt leaves whole files. No rows give an empty manifest.
     """
@@ -107,7 +107,7 @@ def write_tokens(
                 names=["part", "n_docs", "n_tokens", "width"],
             )
 
-    rows = id_and_text(docs, id_col, text_col).select(F.col("id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = id_and_text(docs, id_col, text_col).select(F.col("id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).where("id IS NOT NULL")
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
     ordered.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/written")
     # one row per partition

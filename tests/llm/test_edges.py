@@ -125,7 +125,7 @@ def test_jaccard(docs):
 
 def test_token_files(spark, docs):
     folder = new_path(spark, "tokens")
-    token_files.write_tokens(docs.where("doc_id IS NOT NULL"), folder, WORD, tokens.WORD_END, end_id=1)
+    token_files.write_tokens(docs, folder, WORD, tokens.WORD_END, end_id=1)
     rows = token_files.read_tokens(spark, folder).orderBy("start").collect()
     assert [r["doc_id"] for r in rows] == [0, 1, 2, 3, 4, 4, 5, 6, 7]
     assert [r["start"] for r in rows] == np.cumsum([0, *[r["n_tokens"] for r in rows]])[:-1].tolist()
