@@ -83,7 +83,7 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
-    return jaccard.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +107,24 @@ WITH ints AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024
                 FROM ints q JOIN ints c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
      ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
+""",
+    "op9_jaccard": r"""
+WITH RECURSIVE split AS (
+       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+     shingles AS (
+       SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM split),
+     sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+     shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+                FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+     links AS (SELECT a, b FROM shared JOIN sizes i ON i.doc_id = a JOIN sizes j ON j.doc_id = b
+               WHERE 100 * shared.n >= 80 * (i.n + j.n - shared.n)),
+     ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+     reach AS (SELECT doc_id, doc_id AS other FROM documents
+               UNION SELECT r.doc_id, w.b FROM reach r JOIN ways w ON r.other = w.a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY ALL
 """,
     "op10_line_dedup": r"""
 WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
