@@ -50,7 +50,7 @@ def split_pieces(
         for batch in chunks(batches):
             source, start, length, total, ids = [], [], [], [], []
             for row, encoded in enumerate(encoder.encode(batch.column("text").to_pylist())):
-                data = memoryview(encoded + end)
+                data = encoded + end  # bytes: Arrow does not give memory views back
                 at, n = 0, len(data) // 4
                 for size in piece_lengths(n, longest):
                     source.append(row)
