@@ -14,7 +14,7 @@ from crystalflow.llm import jaccard, language, line_dedup, packing, rules
 from crystalflow.operators.scratch import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.4
 
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in which one learned language has at least half of the words.
+    """Keep documents in which one learned language has at least two fifths of the words.
 
     Texts that are null or without letters go, and so do null ids. The model
     learns from the documents' own non-null ``lang``.
