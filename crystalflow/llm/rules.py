@@ -9,6 +9,7 @@ its n-grams, and a document is kept if the score reaches a fixed threshold.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -17,10 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from crystalflow.llm.helpers import chunks, id_and_text, mixed, window_hashes, word_hashes
-from crystalflow.llm.sampling import lowest_hashes, texts_of
 
-SLOTS = 1 << 14
-TRUSTED = 16_384
+SLOTS = 1 << 14  # at least
+SLOTS_PER_ROOT_BYTE = 3
 SMOOTHING = 1.0
 THRESHOLD = -0.3
 FEWEST_WORDS = 10
@@ -90,12 +90,17 @@ def slot_counts(texts: DataFrame, slots: int = SLOTS) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["slot", "n"])
 
     summed = texts.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = summed.toArrow()  # at most ``slots`` rows
     out = np.zeros(slots, np.int64)
-    for slot, n in summed.collect():  # at most ``slots`` rows
-        out[slot] = n
+    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
+def slots_for(text_bytes: int) -> int:
+    """A power of two of slots that grows with the square root of the text, as distinct n-grams about do."""
+    return max(SLOTS, 1 << (math.ceil(SLOTS_PER_ROOT_BYTE * math.sqrt(text_bytes)) - 1).bit_length())
+
+
 def log_ratios(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING) -> np.ndarray:
     """Log of target over raw probability for each slot; 0 everywhere if either has no n-gram."""
     if not target.sum() or not raw.sum():
@@ -106,19 +111,22 @@ def log_ratios(target: np.ndarray, raw: np.ndarray, smoothing: float = SMOOTHING
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    trusted: int = TRUSTED, slots: int = SLOTS,
+    slots: int | None = None,
 ) -> np.ndarray:
     """The log ratio of every slot.
 
-    The target is a sample of at most ``trusted`` documents with label quality
-    1 and toxic not 1, the raw side all documents. Without any trusted document
-    all ratios are 0.
+    The target is every document with a label of quality 1 and toxic not 1, the
+    raw side all documents. Without ``slots`` their number follows the bytes of
+    text. Without any trusted document all ratios are 0.
     """
     good = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
-    sample = lowest_hashes(good, id_col, F.lit(1), trusted)
-    target = slot_counts(texts_of(docs, sample, id_col, text_col), slots)
-    raw = slot_counts(docs.select(F.col(text_col).alias("text")), slots)
-    return log_ratios(target, raw)
+    texts = id_and_text(docs, id_col, text_col)
+    if slots is None:
+        slots = slots_for(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    # the ids grow with the input: merged at every size, never sent to all tasks
+    ids = good.select(F.col(id_col).alias("id")).distinct().hint("merge")
+    trusted = texts.join(ids, "id", "left_semi")
+    return log_ratios(slot_counts(trusted, slots), slot_counts(texts, slots))
 
 
 def judge(

@@ -176,3 +176,15 @@ def test_mixture_finds_both_languages():
     assert shares[0, 0] > 0.95 and shares[1, 1] > 0.95
     assert shares[2] == pytest.approx([0.75, 0.25], abs=0.08)
     assert not shares[3:].any()
+
+
+def test_target_counts_every_trusted_document(spark):
+    """With all documents trusted, both sides count the same n-grams, also beyond 16 384 documents."""
+    docs = spark.range(0, 20_000, 1, 8).select(F.col("id").alias("doc_id"), F.concat(F.lit("word"), "id").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    assert not rules.fit(docs, labels.unionByName(labels)).any()
+
+
+def test_slots_follow_the_input():
+    assert rules.slots_for(0) == rules.slots_for(10**6) == rules.SLOTS
+    assert [rules.slots_for(10**9 * k) // rules.slots_for(10**9) for k in (4, 16, 64)] == [2, 4, 8]
