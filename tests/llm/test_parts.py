@@ -70,6 +70,39 @@ def test_minimax_equals_brute_force():
     assert sharding.minimax_cuts(np.array([], int), 4) == (0, [])
 
 
+def test_minimax_fills_every_shard():
+    draw = random.Random(4)
+    for _ in range(500):
+        sizes = np.array([draw.choice((1, 2, 9, 60)) for _ in range(draw.randrange(1, 20))])
+        shards = draw.randrange(1, 9)
+        capacity, ends = sharding.minimax_cuts(sizes, shards)
+        held = [sizes[a:b].sum() for a, b in zip((0, *ends[:-1]), ends, strict=True)]
+        assert capacity == max(held) == sharding.least_capacity(sizes, shards)
+        assert len(held) == min(shards, len(sizes)) and min(held) > 0 and sum(held) == sizes.sum()
+
+
+@pytest.mark.parametrize("place", [0, 1, 4000, 9998, 9999])
+def test_an_oversized_atom_leaves_no_shard_empty(place):
+    sizes = np.full(10_000, 100)
+    sizes[place] = 500_000  # a third of all
+    capacity, ends = sharding.minimax_cuts(sizes, 16)
+    held = sorted(sizes[a:b].sum() for a, b in zip((0, *ends[:-1]), ends, strict=True))
+    assert capacity == held[-1] == 500_000 and len(held) == 16
+    if place in (0, 9999):
+        assert held[-2] - held[0] <= 100
+    elif place == 4000:
+        assert held[-2] <= 70_000 and held[0] >= 60_000
+
+
+def test_no_shard_is_empty_with_one_text_in_a_third_of_the_rows(spark):
+    copy = F.when(F.col("id") % 3 == 0, F.lit("the same text each time")).otherwise(F.concat(F.lit("an own text number "), "id"))
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), copy.alias("text"))
+    held = {r["shard"]: r["held"] for r in sharding.shard(docs, 16).groupBy("shard").agg(F.sum("size").alias("held")).collect()}
+    assert sorted(held) == list(range(16))
+    others = sorted(held.values())[:-1]
+    assert others[-1] <= 1.25 * others[0]
+
+
 def test_bitmaps_never_underestimate():
     draw = np.random.default_rng(2)
     for _ in range(300):
