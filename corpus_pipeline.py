@@ -47,7 +47,7 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, keep the document with the lowest id; texts without words all stay."""
-    found = jaccard.near_duplicates(docs)
+    found = jaccard.near_duplicates(docs, count_links=False)
     return _only(docs, found.where("doc_id = component_id"))
 
 

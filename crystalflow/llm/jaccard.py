@@ -13,13 +13,16 @@
 3. Each tile's band is compared with its centre, the class that shares most of
    its own leading shingles. The links found give components, and all pairs in
    a tile whose classes are still in different components are compared next.
+   Where every link is asked for, all pairs in a tile are compared instead,
+   block by block.
 4. A pair is compared by its bitmaps first: the number of differing bits is at
    most the size of the sets' difference, which bounds the overlap from above.
    Only pairs that pass are intersected exactly, as sorted arrays, in tasks
    that hold the arrays of one group of probable copies at a time.
 
 Nothing is sampled or capped: a pair is left out only when it cannot be a link
-or when both classes are known to be in one component.
+or, where components alone are asked for, when both classes are known to be in
+one component.
 """
 
 from __future__ import annotations
@@ -45,6 +48,7 @@ SKETCH_BITS = 20
 SKETCH_PIECES = 64
 TILE_ROWS = 50_000  # a shingle counted more often than this is dealt over several tasks
 GROUP_ROWS = 2_000
+BLOCK_ROWS = 1_000
 FILTER_BITS = 24
 
 
@@ -245,6 +249,27 @@ def _other_pairs(tiles: DataFrame, roots: DataFrame, tried: DataFrame, percent:
     return pairs.join(tried, ["a", "b"], "left_anti")
 
 
+def _all_pairs(tiles: DataFrame, percent: int) -> DataFrame:
+    """All pairs that share a tile and may be links if it is their first; a task meets two blocks of a tile's band at a time."""
+    sizes = tiles.groupBy("shingle").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
+    large = materialise(sizes.where("parts > 1"))
+    # written, so that Spark can split a shingle that many sets lead with
+    cut = materialise(tiles.join(large, "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1))))
+    block, blocks = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"), F.sequence(F.lit(0), F.col("parts") - 1)
+    x = cut.select(
+        "shingle", block.alias("block_x"), F.explode(blocks).alias("block_y"), F.col("band").alias("band_x"),
+        F.col("set_id").alias("x"), F.col("n").alias("n_x"), F.col("place").alias("place_x"),
+    ).select("*", F.explode(F.array("band_x", F.col("band_x") + 1)).alias("band"))
+    y = cut.select(
+        "shingle", F.explode(blocks).alias("block_x"), block.alias("block_y"), "band",
+        F.col("set_id").alias("y"), F.col("n").alias("n_y"), F.col("place").alias("place_y"),
+    )
+    once = (F.col("band_x") < F.col("band")) | (F.col("x") < F.col("y"))
+    met = x.join(y, ["shingle", "band", "block_x", "block_y"])
+    met = met.where(once & _similar_size("n_x", "n_y", percent) & _can_overlap("_x", "_y", percent))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def _passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bitmaps allow a link."""
     sides = [classes.select(F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}")) for s in "ab"]
@@ -320,12 +345,13 @@ def _arrays(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return _likely(docs, wanted).join(wanted, "id").select("set_id", "text").mapInArrow(run, "set_id long, data binary")
 
 
-def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> Links:
+def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, every_link: bool = True) -> Links:
     """All documents' shingle sets, the links between different sets, and their components.
 
     Two sets are linked when 100 * overlap >= ``percent`` * union. ``links`` has
-    enough of them to connect every component; pairs that an earlier link
-    already connects need not be among them. Null ids are left out. A null text
+    all of them, a number that grows with the square of a group of similar sets.
+    Without ``every_link`` it has enough of them to connect every component:
+    pairs that an earlier link already connects are not compared. Null ids are left out. A null text
     counts as empty. Of rows that repeat an id with different texts, each
     counts as a document.
     """
@@ -337,32 +363,35 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.min("n_shingles").alias("n"), F.min("id").alias("first"), F.min("bits").alias("bits"))
     )
     tiles = materialise(_shared_tiles(_tiles(docs, _sketch(sets), width, percent), percent))
-    tried = materialise(_central_pairs(tiles, percent))
+    tried = materialise(_all_pairs(tiles, percent) if every_link else _central_pairs(tiles, percent))
     links = materialise(_exact(materialise(_passing(tried, classes, percent)), docs, classes, width, percent))
-    roots = components(links).select(F.col("node").alias("set_id"), "root")
-    more = materialise(_passing(_other_pairs(tiles, roots, tried, percent), classes, percent))
-    links = materialise(links.unionByName(_exact(more, docs, classes, width, percent)))
+    if not every_link:
+        roots = components(links).select(F.col("node").alias("set_id"), "root")
+        more = materialise(_passing(_other_pairs(tiles, roots, tried, percent), classes, percent))
+        links = materialise(links.unionByName(_exact(more, docs, classes, width, percent)))
     roots = materialise(components(links).select(F.col("node").alias("set_id"), "root"))
     return Links(documents, links, roots)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row with an id: the id column, n_shingles, component_id and n_links.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, count_links: bool = True) -> DataFrame:
+    """Per row with an id: the id column, n_shingles, component_id and, with ``count_links``, n_links.
 
     ``component_id`` is the smallest id in reach over links, the row's own
-    included; documents of equal sets are linked. ``n_links`` counts the links
-    found between the row's set and others. A text without words is linked with
+    included; documents of equal sets are linked. ``n_links`` counts all links
+    between the row's set and others: the different sets similar to it, not
+    their copies. Without it pairs that are known to be in one component are
+    not compared, which spares the square of a group of similar texts. A text without words is linked with
     nothing. No rows give no rows.
     """
-    found = similar_sets(docs, id_col, text_col, width, percent)
-    ends = found.links.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count(F.lit(1)).alias("n_links"))
+    found = similar_sets(docs, id_col, text_col, width, percent, every_link=count_links)
     firsts = found.documents.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("id").alias("first"))
     rooted = firsts.join(found.roots, "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = rooted.join(lowest, "root").select("set_id", "component_id")
+    if count_links:
+        ends = found.links.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count(F.lit(1)).alias("n_links"))
+        named = named.join(ends, "set_id", "left")
     # written, so that a set in a third of the documents can be split by Spark
-    named = materialise(rooted.join(lowest, "root").join(ends, "set_id", "left").select("set_id", "component_id", "n_links"))
-    out = found.documents.join(named, "set_id", "left")
-    return out.select(
-        F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    out = found.documents.join(materialise(named), "set_id", "left")
+    counted = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if count_links else []
+    return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"), *counted)

@@ -221,3 +221,23 @@ def test_target_counts_every_trusted_document(spark):
 def test_slots_follow_the_input():
     assert rules.slots_for(0) == rules.slots_for(10**6) == rules.SLOTS
     assert [rules.slots_for(10**9 * k) // rules.slots_for(10**9) for k in (4, 16, 64)] == [2, 4, 8]
+
+
+@pytest.mark.parametrize(("tile_rows", "block_rows"), [(jaccard.TILE_ROWS, jaccard.BLOCK_ROWS), (2, 5)])
+def test_every_link_is_counted(spark, monkeypatch, tile_rows, block_rows):
+    """A group of texts around one centre, similar in pairs, with copies and others of many sizes."""
+    monkeypatch.setattr(jaccard, "TILE_ROWS", tile_rows)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", block_rows)
+    draw = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+    texts = [" ".join(base)] + [" ".join([*base, f"own{k}"]) for k in range(20)] + [" ".join([*base, "own3"])]
+    texts += [" ".join(base[draw.randrange(25) : draw.randrange(95, 121)]) for _ in range(25)]
+    sets = [frozenset(tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)) for t in texts]
+    linked = lambda a, b: jaccard.is_link(len(a & b), len(a), len(b), 80)
+    expected = {k: sum(own != other and linked(own, other) for other in set(sets)) for k, own in enumerate(sets)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = jaccard.near_duplicates(docs).collect()
+    assert {r["doc_id"]: r["n_links"] for r in rows} == expected
+    assert expected[5] >= 20
+    alone = jaccard.near_duplicates(docs, count_links=False)
+    assert {(r["doc_id"], r["component_id"]) for r in rows} == {(r["doc_id"], r["component_id"]) for r in alone.collect()}
