@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crystalflow.llm import classifier, jaccard, language, line_dedup, packing, rules, sharding, token_files, tokens, top_k, trie_bpe
+from crystalflow.llm import classifier, jaccard, language, line_dedup, merkle, packing, rules, sharding, token_files, tokens, top_k, trie_bpe
 from crystalflow.operators.scratch import new_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -93,9 +93,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_removed")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and checked proof of every document; every third id is checked against a tampered text."""
+    docs = _table(spark, sf_dir, "documents")
+    names = ("doc_id", "source", "lang", "n_chars")
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = merkle.leaf_digest([*map(F.col, names), F.translate("text", upper, lower)])
+    hit = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    leaves = docs.select("doc_id", "lang", merkle.leaf_digest([*map(F.col, names), F.col("text")]).alias("leaf"), F.when(hit, tampered).alias("changed"))
+    proved = merkle.prove(merkle.build(leaves, "lang", ["doc_id"], "leaf"), "leaf", "changed")
+    return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_quality_rules, op3_quality_classifier, op4_trie_bpe, op5_token_files, op6_language_id, op7_sharding,
-    op8_top_k, op9_jaccard, op10_line_dedup,
+    op8_top_k, op9_jaccard, op10_line_dedup, op13_merkle,
 )}
 
 SQL = {
@@ -140,5 +152,59 @@ WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM do
 SELECT s.doc_id, CASE WHEN g.n IS NULL THEN s.text ELSE coalesce(k.text, '') END AS text,
        CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed
 FROM split s LEFT JOIN gone g USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
+    "op13_merkle": r"""
+WITH RECURSIVE fields AS (
+       SELECT doc_id, lang, [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)] AS f, text,
+              translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+              xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT)),
+                lambda acc, b: list_reduce(range(8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(acc, b)),
+                4294967295), 4294967295) % 3 = 0 AS hit
+       FROM documents),
+     digests AS (
+       SELECT doc_id, lang, hit,
+              sha256(array_to_string(list_transform(f || [text], lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) AS leaf,
+              sha256(array_to_string(list_transform(f || [lowered], lambda x: coalesce(strlen(x) || ':' || x, '-')), '')) AS changed
+       FROM fields),
+     leaves AS (
+       SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+              dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM digests),
+     nodes AS (
+       SELECT tree, 0 AS level, i, n, leaf AS h FROM leaves
+       UNION ALL
+       SELECT tree, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1
+       GROUP BY tree, level, n, i // 8),
+     subroots AS (SELECT tree, level, h FROM nodes WHERE n = 1),
+     tops AS (
+       SELECT 0 AS level, tree AS i, (SELECT count(*) FROM subroots) AS n, h FROM subroots
+       UNION ALL
+       SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1
+       GROUP BY level, n, i // 8),
+     joined AS (
+       SELECT tree, level, i, n, h FROM nodes WHERE n > 1
+       UNION ALL
+       SELECT s.tree, s.level + t.level, t.i, t.n, t.h FROM subroots s, tops t WHERE t.n > 1),
+     own AS (
+       SELECT l.tree, l.i AS leaf_i, g.level,
+              CASE WHEN g.level < s.level THEN l.i // CAST(pow(8, g.level) AS BIGINT)
+                   ELSE l.tree // CAST(pow(8, g.level - s.level) AS BIGINT) END AS k
+       FROM leaves l JOIN subroots s USING (tree) JOIN (SELECT DISTINCT tree, level FROM joined) g USING (tree)),
+     steps AS (
+       SELECT o.tree, o.leaf_i, o.level,
+              coalesce(string_agg(j.h, '' ORDER BY j.i) FILTER (j.i < o.k), '') AS before,
+              coalesce(string_agg(j.h, '' ORDER BY j.i) FILTER (j.i > o.k), '') AS after
+       FROM own o JOIN joined j ON j.tree = o.tree AND j.level = o.level AND j.i // 8 = o.k // 8
+       GROUP BY o.tree, o.leaf_i, o.level),
+     proofs AS (SELECT tree, leaf_i, sha256(string_agg(before || after, '' ORDER BY level)) AS p FROM steps GROUP BY tree, leaf_i),
+     folds AS (
+       SELECT tree, i, 0 AS level, CASE WHEN hit THEN changed ELSE leaf END AS h FROM leaves
+       UNION ALL
+       SELECT f.tree, f.i, f.level + 1, sha256(s.before || f.h || s.after)
+       FROM folds f JOIN steps s ON s.tree = f.tree AND s.leaf_i = f.i AND s.level = f.level),
+     ends AS (SELECT tree, i, arg_max(h, level) AS h FROM folds GROUP BY tree, i)
+SELECT l.doc_id, l.leaf, s.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root, coalesce(p.p, sha256('')) AS proof_sha256,
+       e.h AS folded_root, e.h = (SELECT h FROM tops WHERE n = 1) AS verified
+FROM leaves l JOIN subroots s USING (tree) JOIN ends e ON e.tree = l.tree AND e.i = l.i
+     LEFT JOIN proofs p ON p.tree = l.tree AND p.leaf_i = l.i
 """,
 }
