@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crystalflow.llm import classifier, jaccard, language, line_dedup, merkle, packing, rules, sharding, token_files, tokens, top_k, trie_bpe
+from crystalflow.llm import classifier, jaccard, language, line_dedup, merkle, packing, rules, sharding, token_files, tokens, top_k, trie_bpe, whitening
 from crystalflow.operators.scratch import new_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -93,6 +93,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_removed")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the four components of most variance, whitened."""
+    rows = whitening.integers(_table(spark, sf_dir, "embeddings"))
+    model = whitening.fit(rows, 4)
+    explained = F.array(*[F.lit(float(e / model.trace)) for e in model.eigenvalues]).cast("array<double>")
+    each = whitening.whiten(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.count).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and checked proof of every document; every third id is checked against a tampered text."""
     docs = _table(spark, sf_dir, "documents")
@@ -107,7 +124,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_quality_rules, op3_quality_classifier, op4_trie_bpe, op5_token_files, op6_language_id, op7_sharding,
-    op8_top_k, op9_jaccard, op10_line_dedup, op13_merkle,
+    op8_top_k, op9_jaccard, op10_line_dedup, op11_whitening, op13_merkle,
 )}
 
 SQL = {
