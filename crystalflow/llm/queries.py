@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crystalflow.llm import classifier, jaccard, language, line_dedup, merkle, packing, rules, sharding, token_files, tokens, top_k, trie_bpe, whitening
+from crystalflow.llm import (
+    classifier, html_extract, jaccard, language, line_dedup, merkle, packing, page_layouts, rules, sharding, token_files, tokens, top_k,
+    trie_bpe, whitening,
+)
 from crystalflow.operators.scratch import new_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -110,6 +113,14 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, learned from layouts filled with the corpus's words."""
+    field = html_extract.fit(page_layouts.labelled_pages(_table(spark, sf_dir, "documents")))
+    # ids are not given to operators that keep one column alone
+    pages = _table(spark, sf_dir, "pages").withColumn("key", F.struct("page_id", "url"))
+    return html_extract.extract(pages, field, "key").select("key.page_id", "key.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and checked proof of every document; every third id is checked against a tampered text."""
     docs = _table(spark, sf_dir, "documents")
@@ -124,7 +135,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_quality_rules, op3_quality_classifier, op4_trie_bpe, op5_token_files, op6_language_id, op7_sharding,
-    op8_top_k, op9_jaccard, op10_line_dedup, op11_whitening, op13_merkle,
+    op8_top_k, op9_jaccard, op10_line_dedup, op11_whitening, op12_html, op13_merkle,
 )}
 
 SQL = {
