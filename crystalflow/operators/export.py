@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from crystalflow import schema as S
 from crystalflow.operators import files, segments as seg
+from crystalflow.operators.scratch import materialise, new_path
 
 # --- fixed values: export columns and types -------------------------------
 STRUCTURE_EXPORT = {
@@ -48,6 +49,7 @@ FRAME_EXPORT = {
 }
 
 NON_COMPATIBLE = "non_compatible"
+CHUNKS = "_chunks"  # table of finished chunks beside an export
 
 
 def split_name(functional: Column, cross_compatibility: Column) -> Column:
@@ -143,6 +145,38 @@ def chunked(
     return placed.withColumn("chunk", F.floor(F.col("_position") / chunk_size)).drop("_position")
 
 
+def chunk_table(placed: DataFrame, key: str = "id", group: Sequence[str] = ("split",)) -> DataFrame:
+    """What each chunk of :func:`chunked` holds: rows, first and last key, and a digest of its rows in any order."""
+    columns = [f.name for f in placed.schema.fields if "map<" not in f.dataType.simpleString()]
+    row = F.xxhash64(*columns)
+    return placed.groupBy(*group, "chunk").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min(key).cast("string").alias("first_id"),
+        F.max(key).cast("string").alias("last_id"),
+        F.bit_xor(row).alias("digest"),
+    )
+
+
+def due_chunks(plan: DataFrame, finished: DataFrame) -> DataFrame:
+    """Chunks of ``plan`` that ``finished`` does not list with the same content."""
+    return plan.join(finished.select(*plan.columns).distinct(), plan.columns, "left_anti")
+
+
+def _finished(spark: SparkSession, path: str, plan: DataFrame) -> DataFrame:
+    """The table of finished chunks beside an export; empty if there is none."""
+    table = f"{path}/{CHUNKS}"
+    if not files.has_data(spark, table):
+        return plan.limit(0)
+    return spark.read.schema(plan.schema).parquet(table)
+
+
+def _drop_stale(spark: SparkSession, path: str, plan: DataFrame, finished: DataFrame) -> None:
+    """Remove folders of chunks that an earlier run finished and this one does not have."""
+    names = ["split", "chunk"]
+    for row in finished.select(*names).distinct().join(plan, names, "left_anti").toLocalIterator():
+        files.remove(spark, f"{path}/split={row['split']}/chunk={row['chunk']}")
+
+
 def write_export(
     df: DataFrame,
     path: str,
@@ -151,20 +185,48 @@ def write_export(
     max_rows: int = -1,
     force_refresh: bool = False,
     fmt: str = "json",
+    waves: int = 8,
 ) -> None:
-    """Write splits as sorted files of at most ``chunk_size`` rows.
-
-    Range partitioning on (split, id) spreads even a split that holds most of
-    the rows over all tasks. A finished export is left alone unless
-    ``force_refresh``.
+    """Write splits as chunks of ``chunk_size`` rows in key order, a sorted file in a folder each.
+
+    Chunks are dealt to ``waves`` jobs. After each, its chunks are added to the
+    table ``_chunks`` beside them (rows, first and last key, digest). A run that
+    finds such a table writes only chunks that are not in it with the same
+    content, and removes those that no longer exist, so an export that was
+    killed goes on where it stopped, and one whose input changed in places
+    rewrites these. A finished export is left alone. ``force_refresh`` starts
+    from nothing.
     """
-    if files.is_complete(df.sparkSession, path) and not force_refresh:
+    spark, path = df.sparkSession, path.rstrip("/")
+    if force_refresh:
+        files.remove(spark, path)
+    elif files.is_complete(spark, path):
         return
     ready = cap_rows_per_split(export_ready(df, data_type), max_rows)
-    ranged = ready.repartitionByRange("split", "id").sortWithinPartitions("split", "id")
+    placed = chunked(ready, chunk_size).withColumn("chunk", F.lpad(F.col("chunk").cast("string"), 8, "0"))
+    scratch = new_path(spark, "export")
+    wave = F.pmod(F.xxhash64("split", "chunk"), F.lit(waves)).cast("int")
+    placed.withColumn("_wave", wave).write.partitionBy("_wave").parquet(scratch)
+    held = spark.read.schema(T.StructType([*placed.schema, T.StructField("_wave", T.IntegerType())])).parquet(scratch)
+    plan = materialise(chunk_table(held.drop("_wave")).withColumn("format", F.lit(f"{data_type} {fmt}")))
+    finished = materialise(_finished(spark, path, plan))
+    _drop_stale(spark, path, plan, finished)
+    due = materialise(due_chunks(plan, finished).withColumn("_wave", wave))
+    for number in sorted(r["_wave"] for r in due.select("_wave").distinct().collect()):  # at most ``waves``
+        mine = due.where(F.col("_wave") == number)
+        rows = held.where(F.col("_wave") == number).join(mine.select("split", "chunk"), ["split", "chunk"], "left_semi")
+        _write_chunks(rows.drop("_wave"), path, data_type, fmt)
+        mine.drop("_wave").coalesce(1).write.mode("append").parquet(f"{path}/{CHUNKS}")
+    files.mark_complete(spark, path)
+
+
+def _write_chunks(rows: DataFrame, path: str, data_type: str, fmt: str) -> None:
+    """Replace the folders of the chunks in ``rows``."""
+    together = rows.repartition("split", "chunk").sortWithinPartitions("split", "chunk", "id")
     if data_type == "structures":
-        ranged = ranged.drop("id")
-    writer = ranged.write.mode("overwrite").partitionBy("split").option("maxRecordsPerFile", chunk_size)
+        together = together.drop("id")
+    writer = together.write.mode("overwrite").partitionBy("split", "chunk").option("partitionOverwriteMode", "dynamic")
+    writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if fmt == "json":
         writer = writer.option("ignoreNullFields", "false")
     writer.format(fmt).save(path)

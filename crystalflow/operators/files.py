@@ -20,6 +20,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """Say that everything due at ``path`` is written."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_SUCCESS")
+    fs.create(p, True).close()
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds any data file, whoever wrote it and whether or not it left a marker."""
     fs, root = _fs(spark, path)

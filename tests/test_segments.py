@@ -82,7 +82,7 @@ def test_position_over_whole_table(table, rows):
 
 def test_segments_are_monotone_and_balanced(table):
     cuts = seg.cut_points(table, ["at", "id"], 6)
-    assert cuts == sorted(set(cuts)) and len(cuts) == 5
+    assert cuts.points == sorted(set(cuts.points)) and len(cuts) == 5
     tagged = table.withColumn("s", seg.segment_of(table, ["at", "id"], cuts))
     spans = tagged.groupBy("s").agg(
         F.min(F.struct("at", "id")).alias("lo"), F.max(F.struct("at", "id")).alias("hi"), F.count("*").alias("n")
@@ -147,3 +147,74 @@ def test_between_equals_a_slice(table, rows, segments, start, end):
     got = seg.between(table, ["at", "id"], start, end, segments)
     assert got.columns == table.columns
     assert sorted(r["id"] for r in got.collect()) == sorted(r[2] for r in sorted(rows, key=lambda r: (r[1], r[2]))[start:end])
+
+
+ORDERS = {
+    "string": "concat('prefix/of/more/than/twenty/bytes/', lpad(cast(id AS string), 9, '0'))",
+    "double": "(id * 7919 % 20011) / 7D - 200",
+    "timestamp": "timestamp_seconds(id * 3601 % 100003)",
+    "decimal": "cast(id / 8 AS decimal(20, 3))",
+}
+SHORT = "concat('k', id)"
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_sketched_cuts_are_even(spark, kind):
+    df = spark.range(20_000).repartition(7).select("id", F.expr(ORDERS[kind]).alias("at"))
+    cuts = seg.cut_points(df, ["at", "id"], 40)
+    tagged = df.withColumn("s", seg.segment_of(df, ["at", "id"], cuts))
+    spans = tagged.groupBy("s").agg(F.min(F.struct("at", "id")).alias("lo"), F.max(F.struct("at", "id")).alias("hi"), F.count("*").alias("n"))
+    spans = spans.orderBy("s").collect()
+    assert len(spans) >= 36 and max(r["n"] for r in spans) < 20_000 / 40 * 1.5
+    assert all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:]))
+
+
+def test_a_hot_first_value_is_cut_by_the_next_column(spark):
+    df = spark.range(9_000).select(F.when(F.col("id") % 9 < 6, F.lit("same")).otherwise(F.col("id").cast("string")).alias("at"), "id")
+    cuts = seg.cut_points(df, ["at", "id"], 30)
+    counts = df.groupBy(seg.segment_of(df, ["at", "id"], cuts)).count().collect()
+    assert len(counts) >= 25 and max(r["count"] for r in counts) < 2 * 9_000 / 30
+
+
+def test_long_strings_with_opposite_ids(spark):
+    """Strings that only differ behind the bytes compared must not be ordered by the next column."""
+    text = F.concat(F.lit("x" * 30), F.when(F.col("id") % 2 == 0, "a").otherwise("b"), F.lit("y" * 30), F.lpad((5_000 - F.col("id")).cast("string"), 6, "0"))
+    df = spark.range(5_000).select(text.alias("at"), "id")
+    got = {r["id"]: r["place"] for r in seg.position(df, [], ["at", "id"], "place", 25).collect()}
+    want = sorted(((r["at"], r["id"]) for r in df.collect()))
+    assert got == {key: place for place, (_, key) in enumerate(want)}
+
+
+def test_odd_values_in_order_keys(spark):
+    rows = [(k, v) for k, v in enumerate([None, float("-inf"), -1.5, -0.0, 0.0, 2.5, float("inf"), float("nan")] * 40)]
+    df = spark.createDataFrame(rows, "id int, at double")
+    got = {r["id"]: r["place"] for r in seg.position(df, [], ["at", "id"], "place", 12).collect()}
+    plain = {r["id"]: r["place"] for r in seg.position(df, [], ["at", "id"], "place", 1).collect()}
+    assert got == plain
+    texts = spark.createDataFrame([(k, t) for k, t in enumerate([None, "", "\0", "é", "z", "zz", "\U0001f600", "longer than seven bytes"] * 40)], "id int, at string")
+    got = {r["id"]: r["place"] for r in seg.position(texts, [], ["at", "id"], "place", 12).collect()}
+    assert got == {r["id"]: r["place"] for r in seg.position(texts, [], ["at", "id"], "place", 1).collect()}
+
+
+@pytest.mark.parametrize("kind", ["id", *ORDERS])
+@pytest.mark.parametrize("operator", ["running_sum", "carried_first", "between"])
+def test_input_is_evaluated_twice(spark, monkeypatch, kind, operator):
+    """Once to count and sketch, once for the local results; joins and tails read what was written."""
+    monkeypatch.setattr(seg, "ROWS_PER_SEGMENT", 500)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    at = F.expr({"id": "id", "string": SHORT}.get(kind, ORDERS.get(kind)))
+    df = spark.range(4_000).mapInArrow(count, "id long").select("id", at.alias("at"), (F.col("id") % 3).alias("key"))
+    if operator == "running_sum":
+        out = seg.running_sum(df, ["key"], ["at", "id"], {"total": F.lit(1)})
+    elif operator == "carried_first":
+        out = seg.carried_first(df, ["key"], ["at", "id"], F.col("id"), F.col("id") % 5 == 0, "first")
+    else:
+        out = seg.between(df, ["at", "id"], 100, 3_000)
+    assert out.count() == (2_900 if operator == "between" else 4_000)
+    assert seen.value == 2 * 4_000

@@ -209,7 +209,7 @@ def split_of(i):
 
 def read_split(path, split):
     rows = []
-    for name in sorted(glob.glob(f"{path}/split={split}/*.json")):
+    for name in sorted(glob.glob(f"{path}/split={split}/chunk=*/*.json")):
         with open(name) as lines:
             rows.append([json.loads(x) for x in lines])
     return rows
@@ -240,6 +240,56 @@ def test_export_is_resumable(spark, tmp_path):
     assert "id" not in spark.read.json(path).columns
 
 
+def chunk_files(path):
+    return {name: os.stat(name).st_mtime_ns for name in glob.glob(f"{path}/split=*/chunk=*/*.json")}
+
+
+def exported(path):
+    return sorted(json.dumps(r, sort_keys=True) for name in chunk_files(path) for r in map(json.loads, open(name)))
+
+
+def test_killed_export_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    whole, path = str(tmp_path / "whole"), str(tmp_path / "out")
+    pipelines.export([curated(spark)], whole, "trajectories", chunk_size=2)
+    write, runs = export._write_chunks, []
+
+    def fails_third(rows, *rest):
+        runs.append(sorted(map(tuple, rows.select("split", "chunk").distinct().collect())))
+        if len(runs) == 3:
+            write(rows.limit(1), *rest)  # killed half way: its folders are not whole
+            raise KeyboardInterrupt
+        write(rows, *rest)
+
+    monkeypatch.setattr(export, "_write_chunks", fails_third)
+    with pytest.raises(KeyboardInterrupt):
+        pipelines.export([curated(spark)], path, "trajectories", chunk_size=2)
+    finished = {f"{path}/split={s}/chunk={c}" for s, c in runs[0] + runs[1]}
+    before = {name: at for name, at in chunk_files(path).items() if os.path.dirname(name) in finished}
+    assert len(before) == len(finished) > 0 and not os.path.exists(f"{path}/_SUCCESS")
+    pipelines.export([curated(spark)], path, "trajectories", chunk_size=2)
+    after = chunk_files(path)
+    assert before.items() <= after.items()
+    assert not {c for run in runs[3:] for c in run} & set(runs[0] + runs[1])
+    assert exported(path) == exported(whole) and len(after) == len(chunk_files(whole))
+    assert os.path.exists(f"{path}/_SUCCESS")
+
+
+def test_export_of_changed_input_rewrites_changed_chunks(spark, tmp_path):
+    path = str(tmp_path / "out")
+    rows = curated(spark)
+    pipelines.export([rows], path, "trajectories", chunk_size=3)
+    before = chunk_files(path)
+    os.remove(f"{path}/_SUCCESS")
+    changed = rows.withColumn("energy", F.when(F.col("id") == "s004", F.lit(-5.5)).otherwise(F.col("energy"))).where("id < 's022'")
+    pipelines.export([changed], path, "trajectories", chunk_size=3)
+    after = chunk_files(path)
+    fresh = str(tmp_path / "fresh")
+    pipelines.export([changed], fresh, "trajectories", chunk_size=3)
+    assert exported(path) == exported(fresh) and len(after) == len(chunk_files(fresh))
+    kept = before.items() & after.items()
+    assert 0 < len(kept) < len(after) and any("chunk=00000000" in name and name not in dict(kept) for name in after)
+
+
 def test_export_cap_any_and_union(spark, tmp_path):
     capped = str(tmp_path / "capped")
     pipelines.export([curated(spark)], capped, "trajectories", max_rows=3)
