@@ -99,15 +99,17 @@ def ingest_keyed(
 ) -> str:
     """Fetch new keyed files into a raw trajectory table; returns the new version.
 
-    A row's key is its id and file: a file that comes again replaces its rows,
-    and files of other functionals keep theirs.
+    Files of any size are read by as many tasks as they have splits. A row's
+    key is its id and file: a file that comes again replaces the rows of the ids
+    it holds, and files of other functionals keep theirs. Ids that it no longer
+    holds stay.
     """
     objects = listing.list_objects(spark, path).where(F.col("path").rlike(r"\.json(\.[a-z0-9]+)?$"))
     version = ledger.read_version(spark, ledger_path, dataset)
     due = listing.oldest_first(listing.modified_since(objects, version), offset)
     paths = [r["path"] for r in due.select("path", "file_no").orderBy("file_no").toLocalIterator()]
     if paths:
-        rows = documents.read_keyed_json(spark, paths).withColumn("key", text.composite_id("id", "path"))
+        rows = documents.read_keyed_json_pieces(spark, paths).withColumn("key", text.composite_id("id", "path"))
         upsert.write_upsert(rows, table_path, "key", [F.col("last_modified").desc()], buckets=buckets)
     fresh = ledger.new_version(objects).first()["version"]
     ledger.write_version(spark, ledger_path, dataset, fresh)

@@ -13,6 +13,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, text
+from crystalflow.operators import segments as seg
+from crystalflow.operators.scratch import materialise
 from crystalflow.operators.selection import best_per_group
 
 MATERIAL = "mp-material"
@@ -100,7 +102,8 @@ def typed(raw: DataFrame, dtype, name: str = "doc") -> DataFrame:
 
 
 # --- bulk keyed files -----------------------------------------------------
-_BATCH_CHARACTERS = 8 << 20  # payload text handed to Spark at a time
+KEYED = f"map<string,{S.RELAXATIONS_DOC.simpleString()}>"
+CUT = "]"  # every entry of a keyed file ends in one
 
 
 def _clean(relaxations: Column) -> Column:
@@ -131,15 +134,13 @@ def read_keyed_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 
     A bare NaN becomes null; the word NaN inside a string is left alone. Each
     file is one row until it is exploded, so files must stay under 2 GB; use
-    :func:`read_keyed_json_streaming` for larger ones.
+    :func:`read_keyed_json_pieces` for larger ones.
     """
     files = spark.read.text(paths if isinstance(paths, str) else list(paths), wholetext=True)
     rows = files.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("last_modified"),
-        F.explode(
-            F.from_json("value", f"map<string,{S.RELAXATIONS_DOC.simpleString()}>")
-        ).alias("id", "relaxations"),
+        F.explode(F.from_json("value", KEYED)).alias("id", "relaxations"),
     )
     return _finish(rows)
 
@@ -150,82 +151,77 @@ def _finish(rows: DataFrame) -> DataFrame:
     return rows.select("id", relaxations.alias("relaxations"), "path", "last_modified")
 
 
-def read_keyed_json_streaming(spark: SparkSession, listing: DataFrame) -> DataFrame:
-    """As :func:`read_keyed_json`, for files of any size.
+def _bare(piece: Column) -> Column:
+    """A piece that starts outside strings, without its strings; one that is still open goes to the end."""
+    return F.regexp_replace(piece, r'"[^"]*("|$)', "")
+
+
+def _depth_change(outside: Column) -> Column:
+    def count(mark: str) -> Column:
+        return F.length(outside) - F.length(F.replace(outside, F.lit(mark), F.lit("")))
+
+    return count("{") + count("[") - count("}") - count("]")
 
-    ``listing`` has ``path, last_modified``. Each task streams its files and
-    holds one key's value at a time.
-    """
 
-    def entries(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        names = ["id", "payload", "path", "last_modified"]
-        for batch in batches:
-            for path, modified in zip(batch["path"], batch["last_modified"]):
-                rows, size = [], 0
-                for key, payload in iterate_keyed_json(path):
-                    rows.append((key, payload, path, modified))
-                    size += len(payload)
-                    if size > _BATCH_CHARACTERS:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows, size = [], 0
-                if rows:
-                    yield pd.DataFrame(rows, columns=names)
-
-    files = listing.select("path", "last_modified").repartition("path")
-    rows = files.mapInPandas(entries, "id string, payload string, path string, last_modified timestamp")
-    return _finish(rows.withColumn("relaxations", F.from_json("payload", S.RELAXATIONS_DOC)))
-
-
-def iterate_keyed_json(path: str, block: int = 1 << 20) -> Iterator[tuple[str, str]]:
-    """Yield ``(key, JSON text of the value)`` of a file's root object."""
-    import codecs
-    import json
-
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path)
-    codec = {"bz2": "bz2", "gz": "gzip"}.get(path.rsplit(".", 1)[-1])
-    decoder, utf8 = json.JSONDecoder(), codecs.getincrementaldecoder("utf-8")()
-    text_buffer, ended = "", False
-    with system.open_input_stream(inner, compression=codec) as stream:
-
-        def more() -> bool:
-            nonlocal text_buffer, ended
-            data = stream.read(block)
-            ended = not data
-            text_buffer += utf8.decode(data, final=ended)
-            return not ended
-
-        def decode(at: int):
-            """Decode the value at ``at``, reading on until it is complete."""
-            while True:
-                try:
-                    value, end = decoder.raw_decode(text_buffer, at)
-                    if end < len(text_buffer) or ended:
-                        return value, end
-                except ValueError:
-                    if ended:
-                        raise
-                more()
-
-        def skip(at: int, characters: str) -> int:
-            """First position whose character is neither blank nor in ``characters``."""
-            while True:
-                while at < len(text_buffer) and text_buffer[at] in characters + " \t\r\n":
-                    at += 1
-                if at < len(text_buffer) or not more():
-                    return at
-
-        at = skip(0, "﻿{")
-        while at < len(text_buffer) and text_buffer[at] != "}":
-            key, at = decode(at)
-            start = skip(at, ":")
-            _, end = decode(start)
-            yield key, text_buffer[start:end]
-            text_buffer = text_buffer[end:]
-            at = skip(0, ",")
+def keyed_pieces(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Keyed files cut after every closing bracket: ``path, last_modified, block, place, value``, and what a piece changes.
+
+    ``(block, place)`` is the order within a file. ``quotes`` is 1 if the piece
+    ends a string it did not begin, or the reverse; ``outside`` and ``inside``
+    are its change of depth if it starts outside or inside a string, its closing
+    bracket included. No escape crosses a cut, as none ends in a bracket.
+    """
+    pieces = spark.read.option("lineSep", CUT).text(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_modification_time").alias("last_modified"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    pieces = pieces.withColumn("_plain", F.regexp_replace("value", r"(?s)\\.", ""))
+    quotes = F.pmod(F.length("_plain") - F.length(F.replace("_plain", F.lit('"'), F.lit(""))), F.lit(2)).cast("long")
+    entered = F.regexp_replace("_plain", r'^[^"]*("|$)', "")
+    return pieces.select(
+        "path", "last_modified", "block", "place", "value",
+        quotes.alias("quotes"),
+        (_depth_change(_bare(F.col("_plain"))) - F.when(quotes == 0, 1).otherwise(0)).cast("long").alias("outside"),
+        (_depth_change(_bare(entered)) - F.when(quotes == 1, 1).otherwise(0)).cast("long").alias("inside"),
+    )
+
+
+def read_keyed_json_pieces(spark: SparkSession, paths: str | Sequence[str], segments: int | None = None) -> DataFrame:
+    """As :func:`read_keyed_json`, for files of any size, each read by as many tasks as it has splits.
+
+    Files are cut at a fixed character into pieces. A piece's change of quote
+    state and depth is known from the piece alone; running sums over the pieces
+    of a file compose them, so that every piece knows where it starts. One that
+    starts right within the root object begins an entry, and the pieces up to
+    the next are that entry's text. Only an entry has to fit a row. Entries that
+    are no valid JSON are left out.
+    """
+    pieces = materialise(keyed_pieces(spark, paths))
+    order = ["block", "place"]
+    states = pieces.select("path", *order, "quotes", "outside", "inside")
+    states = seg.running_sum(states, ["path"], order, {"opened": F.col("quotes")}, segments)
+    within = F.pmod(F.col("opened") - F.col("quotes"), F.lit(2)) == 1
+    change = F.when(within, F.col("inside")).otherwise(F.col("outside"))
+    states = states.select("path", *order, within.alias("within"), change.alias("change"))
+    states = seg.running_sum(states, ["path"], order, {"depth": F.col("change")}, segments)
+    begins = (~F.col("within") & (F.col("depth") - F.col("change") <= 1)).cast("long")
+    states = states.select("path", *order, begins.alias("begins"))
+    states = seg.running_sum(states, ["path"], order, {"entry": F.col("begins")}, segments)
+    joined = pieces.join(states.select("path", *order, "entry"), ["path", *order])
+    entries = joined.groupBy("path", "last_modified", "entry").agg(
+        F.array_sort(F.collect_list(F.struct(*order, "value"))).alias("held")
+    )
+    last = states.groupBy("path").agg(F.max("entry").alias("last"))  # the end of the file: no bracket after it
+    whole = F.array_join(F.transform("held", lambda p: p["value"]), CUT)
+    body = F.when(F.col("entry") < F.col("last"), F.concat(whole, F.lit(CUT))).otherwise(F.regexp_replace(whole, r"\}\s*$", ""))
+    body = F.regexp_replace(body, r"^[\s\uFEFF]*[{,]", "")
+    rows = entries.join(last, "path").select(
+        "path", "last_modified", F.explode(F.from_json(F.concat(F.lit("{"), body, F.lit("}")), KEYED)).alias("id", "relaxations")
+    )
+    return _finish(rows)
 
 
 # --- paged services -------------------------------------------------------

@@ -81,25 +81,37 @@ def test_keyed_file(spark, keyed_file):
     check_keyed(documents.read_keyed_json(spark, keyed_file))
 
 
-def test_keyed_file_streamed(spark, keyed_file):
-    check_keyed(documents.read_keyed_json_streaming(spark, listing.list_objects(spark, keyed_file)))
-
-
-@pytest.mark.parametrize("block", [1, 7, 100, 1 << 20])
-def test_keyed_iterator_at_any_block_size(keyed_file, block):
-    got = list(documents.iterate_keyed_json(f"file://{keyed_file}/geo.json.bz2", block))
-    assert [k for k, _ in got] == ["agm1", "agm NaN 2", 'agm"3']
-    assert [v for _, v in got][1] == "[]" and "NaN" in got[0][1]
-
-
-def test_keyed_iterator_on_numbers_and_truncation(tmp_path):
-    path = tmp_path / "n.json"
-    path.write_text('{"a": 12345, "b": "x" , "c":{}}')
-    for block in (1, 2, 3, 50):
-        assert list(documents.iterate_keyed_json(f"file://{path}", block)) == [("a", "12345"), ("b", '"x"'), ("c", "{}")]
-    path.write_text('{"a": [1, 2')
-    with pytest.raises(ValueError):
-        list(documents.iterate_keyed_json(f"file://{path}", 4))
+def test_keyed_file_in_pieces(spark, keyed_file):
+    check_keyed(documents.read_keyed_json_pieces(spark, keyed_file))
+
+
+ODD_KEYS = ["plain", "", 'quote"d', "back\\slash", "br]ack[et}s{", 'end\\"', ", comma: colon", "uni\u00e9\u2028", "new\nline", "]", '"]"', "\\]"]
+
+
+@pytest.mark.parametrize("split, segments, indent", [(128 << 20, None, None), (700, 3, 2), (150, 1, None)])
+def test_pieces_equal_whole_files_at_any_split(spark, tmp_path, split, segments, indent):
+    for f, functional in enumerate(["pbe", "scan"]):
+        step = lambda k: {"structure": None, "energy": -0.5 * k if k % 4 else float("nan"), "forces": [[k, 0.0, float("nan")]] * (k % 3), "stress": None}  # noqa: B023, E731
+        docs = {f"{key}{n}": [{"functional": key, "steps": [step(k) for k in range(n % 5)]} for _ in range(n % 3)] for n, key in enumerate(ODD_KEYS * (3 + f))}
+        (tmp_path / functional).mkdir()
+        (tmp_path / functional / "geo.json").write_text(" \n" * (f == 1) + json.dumps(docs, indent=indent, ensure_ascii=f == 0))
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "none.json").write_text("{ }\n")
+    paths = [str(tmp_path / n) for n in ("pbe", "scan", "empty")]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    plain = documents.read_keyed_json(spark, paths).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        cut = documents.read_keyed_json_pieces(spark, paths, segments).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(plain) == 7 * len(ODD_KEYS)
+    assert sorted(map(repr, cut)) == sorted(map(repr, plain))
+
+
+def test_pieces_of_an_entry_that_is_no_json(spark, tmp_path):
+    (tmp_path / "geo.json").write_text('{"a": [], "b": [nonsense], "c": [{"steps": []}]}')
+    assert sorted(r["id"] for r in documents.read_keyed_json_pieces(spark, str(tmp_path)).collect()) == ["a", "c"]
 
 
 def test_paged_source(spark):
