@@ -24,7 +24,6 @@ SLOTS = 1 << 16
 PER_LANGUAGE = 3_000
 SMOOTHING = 0.5
 ROUNDS = 12
-MOST_LANGUAGES = 4
 UNKNOWN = "und"
 CHUNK = 1 << 18
 
@@ -114,8 +113,12 @@ def _mixture(likelihood: np.ndarray, first: np.ndarray, owner: np.ndarray, start
     return share, np.add.reduceat(np.log(np.maximum(total, 1e-300)), first)
 
 
-def infer(texts: Sequence[str | None], model: Model, most: int = MOST_LANGUAGES, rounds: int = ROUNDS) -> np.ndarray:
-    """Proportions of the languages (texts x languages); all 0 for a text without letters."""
+def infer(texts: Sequence[str | None], model: Model, rounds: int = ROUNDS) -> np.ndarray:
+    """Proportions of the languages (texts x languages); all 0 for a text without letters.
+
+    Sets of every size are tried up to the number of languages that a first EM
+    gives half a word or more; the penalised likelihood alone chooses.
+    """
     shares = np.zeros((len(texts), len(model.languages)))
     found, starts, owner = trigrams(texts, len(model.log_probability))
     if len(found) == 0 or not model.languages:
@@ -129,11 +132,12 @@ def infer(texts: Sequence[str | None], model: Model, most: int = MOST_LANGUAGES,
     share, _ = _mixture(likelihood, first, local, np.full((len(first), languages), 1.0 / languages), rounds)
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
     best, best_share = np.full(len(first), -np.inf), share
-    for size in range(1, min(most, languages) + 1):
+    most = np.maximum((share * n_words[:, None] >= 0.5).sum(axis=1), 1)
+    for size in range(1, int(most.max()) + 1):
         start = np.where(rank < size, np.maximum(share, 1e-6), 0.0)
         part, fit_ = _mixture(likelihood, first, local, start / start.sum(axis=1, keepdims=True), 1 if size == 1 else rounds // 2)
         value = fit_ - 0.5 * size * np.log(n_words)
-        better = value > best
+        better = (value > best) & (size <= most)
         best = np.where(better, value, best)
         best_share = np.where(better[:, None], part, best_share)
     shares[owner[first]] = best_share
