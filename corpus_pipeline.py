@@ -39,8 +39,13 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut later occurrences of three-line windows out of the texts; ``n_chars`` follows, no document goes."""
+    """Cut later occurrences of three-line windows out of the texts; ``n_chars`` follows.
+
+    A document of which no word is left goes: other documents hold all its
+    lines. Those that were empty before stay.
+    """
     cleaned = line_dedup.dedup_lines(docs)
+    cleaned = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", changed).select(*COLUMNS)
 
