@@ -279,3 +279,22 @@ def observed(df: DataFrame, name: str = "quality") -> tuple[DataFrame, Observati
         ),
         watch,
     )
+
+
+class TooManyRejects(RuntimeError):
+    """A run rejected a larger share of its rows than it may."""
+
+
+def written_within(df: DataFrame, bad: Column, most: float | None) -> DataFrame:
+    """``df`` written to scratch and read back, if at most the share ``most`` of its rows is ``bad``.
+
+    Rows are counted as they are written, so nothing is read twice, and a run
+    that stops here has not touched any table. None sets no bound.
+    """
+    watch = Observation(f"rejects_{uuid4().hex}")
+    counts = F.count(F.lit(1)).alias("rows"), F.count(F.when(bad, 1)).alias("rejected")
+    held = scratch.materialise(df.observe(watch, *counts))
+    seen = watch.get
+    if most is not None and seen["rejected"] > most * seen["rows"]:
+        raise TooManyRejects(f"{seen['rejected']} of {seen['rows']} rows rejected, more than a share of {most}")
+    return held

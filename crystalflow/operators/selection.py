@@ -11,6 +11,8 @@ from crystalflow.functions import text
 from crystalflow.operators import segments as seg
 from crystalflow.operators.skew import join_per_key
 
+_FEW_IDS = 500  # literals in a plan
+
 
 def explode_task_references(materials: DataFrame, material_id: str = "material_id") -> DataFrame:
     """One row per non-deprecated task a material names, in document order.
@@ -189,6 +191,19 @@ def lookup(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key), key, "left_semi")
 
 
+def lookup_few(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """As :func:`lookup`; up to ``_FEW_IDS`` ids become literals.
+
+    These reach the scan, where statistics of sorted files and Bloom filters of
+    tables written by :func:`upsert.write_upsert` skip row groups without any of
+    them. More ids are joined.
+    """
+    few = ids.select(key).where(F.col(key).isNotNull()).distinct().limit(_FEW_IDS + 1).collect()
+    if len(few) > _FEW_IDS:
+        return lookup(df, ids, key)
+    return df.where(F.col(key).isin([r[0] for r in few]))
+
+
 def slice_by_key(
     df: DataFrame,
     order: Sequence[str | Column],

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F, types as T
 
 from crystalflow.operators import files, scratch
 from crystalflow.operators.selection import best_per_group
@@ -73,6 +73,9 @@ def write_upsert(
     batch is computed once. The merged rows are written next to the table first
     and moved in by a second job, so the table is never overwritten while being
     read. A run that died between the two is finished by the next call.
+
+    Files are sorted by the key and carry a Bloom filter of it, so that lookups
+    of few keys skip row groups (:func:`selection.lookup_few`).
     """
     spark = batch.sparkSession
     if buckets is not None:
@@ -80,17 +83,17 @@ def write_upsert(
         partition_by = [*partition_by, BUCKET]
     staging = f"{path.rstrip('/')}__staging"
     if files.is_complete(spark, staging):
-        _move_in(spark, staging, path, partition_by)
+        _move_in(spark, staging, path, key, partition_by)
     new = batch if newest_first is None else latest_per_key(batch, key, newest_first)
     if not files.has_data(spark, path):
-        new.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        _keyed(new, key, partition_by).mode("overwrite").parquet(path)
         return
     new = scratch.materialise(new)
     target = spark.read.schema(batch.schema).parquet(path)
     if partition_by:
         target = _touched(target, new, partition_by)
     upsert(target, new, key).write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
-    _move_in(spark, staging, path, partition_by)
+    _move_in(spark, staging, path, key, partition_by)
 
 
 def merge_upsert(
@@ -124,9 +127,14 @@ def _touched(target: DataFrame, new: DataFrame, partition_by: Sequence[str]) ->
     return target.where(reduce(or_, conditions, F.lit(False)))
 
 
-def _move_in(spark: SparkSession, staging: str, path: str, partition_by: Sequence[str]) -> None:
-    merged = spark.read.parquet(staging)
-    writer = merged.write.mode("overwrite").partitionBy(*partition_by)
+def _keyed(rows: DataFrame, key: str, partition_by: Sequence[str]) -> DataFrameWriter:
+    """A writer of files sorted by the key, with a Bloom filter of it."""
+    writer = rows.sortWithinPartitions(*partition_by, key).write.partitionBy(*partition_by)
+    return writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+
+
+def _move_in(spark: SparkSession, staging: str, path: str, key: str, partition_by: Sequence[str]) -> None:
+    writer = _keyed(spark.read.parquet(staging), key, partition_by).mode("overwrite")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)

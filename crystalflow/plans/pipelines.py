@@ -41,13 +41,16 @@ def register_source(
         _TRAJECTORY_JOBS[name] = trajectories
 
 
-def curate_structures(source: str, *inputs, **options) -> tuple[DataFrame, DataFrame]:
+def curate_structures(source: str, *inputs, most_rejected: float | None = None, **options) -> tuple[DataFrame, DataFrame]:
     """Good structures of a source, and the rejected rows with their reasons.
 
     The classified rows are written to scratch once, so that storing both
-    parts does not run the job twice.
+    parts does not run the job twice. Where more than the share
+    ``most_rejected`` of them is rejected, the run stops with
+    :class:`quality.TooManyRejects` and nothing is stored.
     """
-    classified = scratch.materialise(_STRUCTURE_JOBS[source](*inputs, **options))
+    classified = _STRUCTURE_JOBS[source](*inputs, **options)
+    classified = quality.written_within(classified, F.size(quality.REASONS) > 0, most_rejected)
     return quality.accepted(classified), quality.rejected(classified)
 
 

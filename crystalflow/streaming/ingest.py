@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from crystalflow.operators.scratch import materialise
+from crystalflow.operators import quality
 from crystalflow.operators.upsert import write_upsert
 from crystalflow.sources import documents
 
@@ -20,12 +20,15 @@ def ingest_new_files(
     partition_by: Sequence[str] = (),
     files_per_batch: int | None = None,
     buckets: int | None = 64,
+    most_unusable: float | None = None,
 ) -> StreamingQuery:
     """Upsert the documents of files not seen before, then stop.
 
     The checkpoint remembers files; a batch that is retried after a failure
     writes the same rows again, which an upsert by key makes harmless. Lines
-    without a usable document go to the table ``<table_path>_rejects``.
+    without a usable document go to the table ``<table_path>_rejects``. A batch
+    in which they are more than the share ``most_unusable`` fails the query
+    before a table is touched, and comes again when it is started anew.
     """
     reader = spark.readStream.format("text")
     if files_per_batch is not None:
@@ -37,9 +40,9 @@ def ingest_new_files(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # the batch's rows are read twice, and their line numbers must agree
-        numbered = materialise(batch.withColumn("line_no", F.monotonically_increasing_id()))
-        routed = documents.route(numbered)
+        # the batch's rows are used twice, and their line numbers must agree
+        routed = documents.route(batch.withColumn("line_no", F.monotonically_increasing_id()))
+        routed = quality.written_within(routed, ~F.col("parsed"), most_unusable)
         latest = documents.latest_documents(routed.where("parsed"))
         write_upsert(latest, table_path, partition_by=partition_by, buckets=buckets)
         write_upsert(documents.unusable_lines(routed), documents.rejects_path(table_path))

@@ -9,10 +9,11 @@ import json
 import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from crystalflow import schema as S
-from crystalflow.operators import export, files, ledger, selection, upsert
+from crystalflow.operators import export, files, ledger, quality, selection, upsert
 from crystalflow.plans import pipelines
 from crystalflow.streaming.ingest import ingest_new_files
 
@@ -167,6 +168,30 @@ def test_stream_keeps_unusable_lines(spark, tmp_path):
     assert sorted(r["value"] for r in rejects) == ["no json", '{"v": 3}']
 
 
+def test_stream_stops_on_too_many_unusable_lines(spark, tmp_path):
+    source, target, check = (str(tmp_path / n) for n in ("in", "raw", "check"))
+    os.mkdir(source)
+    with open(f"{source}/a.jsonl", "w") as out:
+        out.write('{"material_id": "m1"}\nno json\n{"v": 3}\n')
+    with pytest.raises(StreamingQueryException, match="2 of 3 rows rejected"):
+        ingest_new_files(spark, source, target, check, most_unusable=0.5).awaitTermination()
+    assert not os.path.exists(target)
+    ingest_new_files(spark, source, target, check, most_unusable=0.7).awaitTermination()
+    assert [r["id"] for r in spark.read.parquet(target).collect()] == ["m1"]
+
+
+def test_curation_stops_on_too_many_rejects(spark):
+    def job(df):
+        return df.withColumn("reasons", F.when(F.col("id") % 4 == 0, F.array(F.lit("bad"))).otherwise(F.array()))
+
+    pipelines.register_source("stopping", structures=job)
+    with pytest.raises(quality.TooManyRejects, match="10 of 40"):
+        pipelines.curate_structures("stopping", spark.range(40), most_rejected=0.2)
+    good, bad = pipelines.curate_structures("stopping", spark.range(40), most_rejected=0.25)
+    assert (good.count(), bad.count()) == (30, 10)
+    assert quality.reject_counts(bad).first()["n_rows"] == 10
+
+
 def test_ingest_is_incremental(spark, tmp_path):
     source, target, book = (str(tmp_path / n) for n in ("in", "raw", "ledger"))
     os.mkdir(source)
