@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, text
@@ -226,37 +226,69 @@ def read_keyed_json_pieces(spark: SparkSession, paths: str | Sequence[str], segm
 
 # --- paged services -------------------------------------------------------
 class _Page(InputPartition):
-    def __init__(self, offset: int, limit: int):
+    """The rows ``first`` to ``end`` (exclusive) of the page at ``offset``."""
+
+    def __init__(self, offset: int, limit: int, first: int, end: int):
         super().__init__(offset)
-        self.offset, self.limit = offset, limit
+        self.offset, self.limit, self.first, self.end = offset, limit, first, end
+
+
+def _pages(start: int, end: int, limit: int) -> list[_Page]:
+    """The pages that hold rows ``start`` to ``end``; services are asked for whole pages only."""
+    return [_Page(at, limit, max(start, at), min(end, at + limit)) for at in range(start // limit * limit, end, limit)]
+
+
+def _rows_of(fetch_page, page: _Page) -> Iterator[tuple]:
+    import json
+
+    served = fetch_page(page.offset, page.limit)["data"]
+    for doc in served[page.first - page.offset : page.end - page.offset]:
+        yield (str(doc["id"]), doc.get("type"), json.dumps(doc.get("attributes")))
 
 
 def paged_source(fetch_page, name: str = "paged_documents") -> type[DataSource]:
-    """A DataSource over a paged service.
+    """A DataSource over a paged service, for batches and streams.
 
     ``fetch_page(offset, limit)`` gives ``{"data": [document, ...], "meta":
     {"data_available": n}}``; executors call it, one page per task. Options:
-    ``limit`` (page size) and ``offset`` (rows to skip, in whole pages).
+    ``limit`` (page size) and ``offset`` (rows to skip; a batch skips whole
+    pages). A stream's position is the number of rows it has taken, so it
+    suits services that add documents at the end.
 
         spark.dataSource.register(paged_source(fetch))
         spark.read.format("paged_documents").option("limit", 500).load()
     """
 
+    def available() -> int:
+        return int(fetch_page(0, 1)["meta"]["data_available"])
+
     class Reader(DataSourceReader):
         def __init__(self, options):
             self.limit = int(options.get("limit", 500))
             self.offset = int(options.get("offset", 0))
 
         def partitions(self) -> Sequence[InputPartition]:
-            total = int(fetch_page(0, 1)["meta"]["data_available"])
-            first = self.offset // self.limit * self.limit
-            return [_Page(at, self.limit) for at in range(first, total, self.limit)]
+            return _pages(self.offset // self.limit * self.limit, available(), self.limit)
 
         def read(self, partition: _Page) -> Iterable[tuple]:
-            import json
+            return _rows_of(fetch_page, partition)
+
+    class StreamReader(DataSourceStreamReader):
+        def __init__(self, options):
+            self.limit = int(options.get("limit", 500))
+            self.offset = int(options.get("offset", 0))
+
+        def initialOffset(self) -> dict:
+            return {"rows": self.offset}
 
-            for doc in fetch_page(partition.offset, partition.limit)["data"]:
-                yield (str(doc["id"]), doc.get("type"), json.dumps(doc.get("attributes")))
+        def latestOffset(self) -> dict:
+            return {"rows": max(self.offset, available())}
+
+        def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+            return _pages(start["rows"], end["rows"], self.limit)
+
+        def read(self, partition: _Page) -> Iterable[tuple]:
+            return _rows_of(fetch_page, partition)
 
     class PagedDocuments(DataSource):
         @classmethod
@@ -269,6 +301,9 @@ def paged_source(fetch_page, name: str = "paged_documents") -> type[DataSource]:
         def reader(self, schema) -> DataSourceReader:
             return Reader(self.options)
 
+        def streamReader(self, schema) -> DataSourceStreamReader:
+            return StreamReader(self.options)
+
     return PagedDocuments
 
 

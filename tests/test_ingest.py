@@ -5,9 +5,13 @@ from __future__ import annotations
 import datetime
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from crystalflow.operators import ledger
 from crystalflow.plans import pipelines
 from crystalflow.sources import documents
+from crystalflow.streaming.ingest import ingest_new_pages
 
 STEP = {"structure": None, "energy": -1.0, "forces": None, "stress": None}
 
@@ -48,6 +52,45 @@ def test_paged_service(spark, tmp_path):
     assert spark.read.parquet(table).count() == 9
 
 
+def test_pages_as_a_stream(spark, tmp_path):
+    """The second run asks for new pages only, and a page that failed is asked for again."""
+    table, check, log, held = (str(tmp_path / n) for n in ("raw", "check", "log", "held.json"))
+
+    def serve(n, fails=False):
+        docs = [{"id": f"agm{i}", "type": "structures", "attributes": {"last_modified": "2024-03-01T10:00:00Z", "v": i}} for i in range(n)]
+        (tmp_path / "held.json").write_text(json.dumps({"docs": docs, "fails": fails}))
+        (tmp_path / "log").write_text("")
+
+    def fetch(offset, limit):
+        import json
+
+        with open(held) as text:
+            state = json.load(text)
+        if limit > 1:
+            with open(log, "a") as out:
+                out.write(f"{offset} ")
+            if state["fails"] and offset == 12:
+                raise ConnectionError("page lost")
+        return {"data": state["docs"][offset : offset + limit], "meta": {"data_available": len(state["docs"])}}
+
+    def run():
+        ingest_new_pages(spark, "stream_pages_test", table, check, {"limit": "4"}).awaitTermination()
+        asked = sorted(map(int, (tmp_path / "log").read_text().split()))
+        return asked, sorted(r["id"] for r in spark.read.parquet(table).collect())
+
+    spark.dataSource.register(documents.paged_source(fetch, "stream_pages_test"))
+    serve(10)
+    assert run() == ([0, 4, 8], sorted(f"agm{i}" for i in range(10)))
+    serve(10)
+    assert run() == ([], sorted(f"agm{i}" for i in range(10)))
+    serve(15, fails=True)
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert spark.read.parquet(table).count() == 10
+    serve(15)
+    assert run() == ([8, 12], sorted(f"agm{i}" for i in range(15)))
+
+
 def test_due_downloads_and_dumps(spark, tmp_path):
     versions = str(tmp_path / "ledger")
     html = (
