@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
-from crystalflow.operators import frames, quality, selection
+from crystalflow.operators import frames, quality, scratch, selection
 from crystalflow.operators.skew import join_per_key
 from crystalflow.plans import common
 
@@ -154,6 +154,7 @@ def curate_trajectories(
     as_of: Column | None = None,
     apply_blocklist: bool = False,
     keep_final: bool = False,
+    write_once: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Input and output frames of every entry's relaxations, and the rejected ones."""
     calcs = relaxations(tables["entries"], tables["calculations"])
@@ -211,6 +212,7 @@ def curate_trajectories(
     classified = quality.widen_to_document(
         quality.classify(rows, frames=True), ["entry_id"], bounded=True
     )
+    classified = scratch.materialise(classified) if write_once else classified  # good and rejected frames read it
     own = common.own_correction(quality.accepted(classified), coefficients)
     order = ["relaxation_number", "is_output"]
     corrected = frames.carry_correction(

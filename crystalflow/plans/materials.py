@@ -156,6 +156,7 @@ def curate_trajectories(
     coefficients: common.Coefficients | None = None,
     chronological: bool = False,
     keep_final: bool = False,
+    write_once: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Frames of every relaxation task, and the frames that were rejected.
 
@@ -221,6 +222,7 @@ def curate_trajectories(
             quality.Rule("electronic_steps_exhausted", "source", ~F.col("_whole") | F.col("_converged")),
         ],
     ).drop("_whole", "_converged")
+    classified = scratch.materialise(classified) if write_once else classified  # good and rejected frames read it
 
     trajectory = ["task_id", "immutable_id", "functional", "trajectory_number"]
     numbered = frames.number_frames(

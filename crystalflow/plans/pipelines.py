@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -21,9 +22,9 @@ _STRUCTURE_JOBS: dict[str, StructureJob] = {
     "oqmd": dump.curate_structures,
 }
 _TRAJECTORY_JOBS: dict[str, TrajectoryJob] = {
-    "mp": materials.curate_trajectories,
-    "alexandria": vendor.curate_trajectories,
-    "oqmd": dump.curate_trajectories,
+    "mp": partial(materials.curate_trajectories, write_once=True),
+    "alexandria": partial(vendor.curate_trajectories, write_once=True),
+    "oqmd": partial(dump.curate_trajectories, write_once=True),
 }
 
 
@@ -55,7 +56,11 @@ def curate_structures(source: str, *inputs, most_rejected: float | None = None,
 
 
 def curate_trajectories(source: str, *inputs, **options) -> tuple[DataFrame, DataFrame]:
-    """Good frames of a source, and the rejected ones with their reasons."""
+    """Good frames of a source, and the rejected ones with their reasons.
+
+    The known sources write the classified frames to scratch once, so that
+    storing both parts does not run the job twice.
+    """
     return _TRAJECTORY_JOBS[source](*inputs, **options)
 
 

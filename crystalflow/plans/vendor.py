@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
-from crystalflow.operators import frames, quality
+from crystalflow.operators import frames, quality, scratch
 from crystalflow.plans import common
 
 SOURCE = "alexandria"
@@ -87,6 +87,7 @@ def curate_trajectories(
     keyed: DataFrame,
     coefficients: common.Coefficients | None = None,
     keep_final: bool = False,
+    write_once: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Frames of keyed files, and the rejected ones.
 
@@ -134,6 +135,7 @@ def curate_trajectories(
     classified = quality.widen_to_document(
         quality.classify(rows, frames=True, extra=[_mapped()]), unit, bounded=True
     )
+    classified = scratch.materialise(classified) if write_once else classified  # good and rejected frames read it
     own = common.own_correction(quality.accepted(classified), coefficients)
     corrected = frames.carry_correction(own, unit, ["relaxation_step"], segments=1)
     converged = frames.convergence_filter(
