@@ -228,23 +228,32 @@ def _central_pairs(tiles: DataFrame, percent: int) -> DataFrame:
 
 
 def _other_pairs(tiles: DataFrame, roots: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a tile, may be similar by size, lie in different components and were not tried."""
+    """Pairs that share a tile, may be similar by size, lie in different components and were not tried.
+
+    As in ``_all_pairs``, a task meets two blocks of a tile's band at a time.
+    """
     named = tiles.drop("salt").join(roots.select("set_id", "root"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
     named = materialise(named)
-    mixed_tiles = named.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    left = materialise(named.join(materialise(mixed_tiles.select("shingle")), "shingle"))
+    mixed_tiles = named.groupBy("shingle").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts")
+    ).where("low <> high")
+    left = materialise(named.join(materialise(mixed_tiles.select("shingle", "parts")), "shingle"))
     per_root = left.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("rows"))
     major = materialise(per_root.groupBy("shingle").agg(F.max(F.struct("rows", "root"))["root"].alias("major")))
     marked = left.join(major, "shingle")
+    block, blocks = F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int"), F.sequence(F.lit(0), F.col("parts") - 1)
     minor = marked.where("root <> major").select(
-        "shingle", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+        "shingle", "band", block.alias("block_x"), F.explode(blocks).alias("block_y"),
         F.col("set_id").alias("x"), F.col("n").alias("n_x"), F.col("place").alias("place_x"), F.col("root").alias("root_x"),
     )
+    minor = minor.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     others = marked.select(
-        "shingle", "band", "major", *[F.col(c).alias(f"{to}_y" if to else "y") for c, to in (("set_id", ""), ("n", "n"), ("place", "place"), ("root", "root"))]
-    )
+        "shingle", "band", "major", F.explode(blocks).alias("block_x"), block.alias("block_y"),
+        *[F.col(c).alias(f"{to}_y" if to else "y") for c, to in (("set_id", ""), ("n", "n"), ("place", "place"), ("root", "root"))],
+    )
     once = (F.col("root_y") == F.col("major")) | (F.col("x") < F.col("y"))
-    met = minor.join(others, ["shingle", "band"]).where((F.col("root_x") != F.col("root_y")) & once & _can_overlap("_x", "_y", percent))
+    met = minor.join(others, ["shingle", "band", "block_x", "block_y"])
+    met = met.where((F.col("root_x") != F.col("root_y")) & once & _can_overlap("_x", "_y", percent))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     return pairs.join(tried, ["a", "b"], "left_anti")
 
@@ -286,18 +295,34 @@ def _passing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a long, b long")
 
 
+def _groups(named: DataFrame, rows: int | None = None) -> DataFrame:
+    """Pairs (a, b, root) as a, b and the group that compares them, of about ``rows`` pairs at most.
+
+    The pairs of a component are dealt by ``b``. A set that is the ``b`` of more
+    pairs than a group holds, as the centre of a star is, has groups of its own,
+    dealt by ``a``.
+    """
+    rows = rows or GROUP_ROWS
+    parts = F.ceil(F.count(F.lit(1)) / rows)
+    sizes = materialise(named.groupBy("root").agg(parts.alias("parts")).where("parts > 1"))
+    hubs = materialise(named.groupBy("b").agg(parts.alias("cuts")).where("cuts > 1"))  # at most one for every ``rows`` pairs
+    sized = named.join(sizes, "root", "left").join(hubs, "b", "left")
+    dealt = F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1)))
+    cut = F.pmod(F.xxhash64("a"), F.col("cuts"))
+    group = F.when(F.col("cuts").isNull(), F.xxhash64("root", dealt)).otherwise(F.xxhash64("root", F.lit("hub"), "b", cut))
+    return sized.select("a", "b", group.alias("group"))
+
+
 def _exact(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs that are links, by intersection of their sorted arrays.
 
     Pairs are grouped by the component of the probable links they lie in, a
-    large component in several groups; a group gets each array it needs once.
+    large component in several groups and so is a set with many partners; a
+    group gets each array it needs once.
     """
     roots = materialise(components(pairs))
     named = pairs.join(roots.withColumnRenamed("node", "b"), "b", "left").withColumn("root", F.coalesce("root", "b"))
-    sizes = materialise(named.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("parts")))
-    grouped = materialise(
-        named.join(sizes, "root").select("a", "b", F.xxhash64("root", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group"))
-    )
+    grouped = materialise(_groups(named))
     needed = materialise(grouped.select("group", F.explode(F.array("a", "b")).alias("set_id")).distinct())
     arrays = materialise(_arrays(docs, needed.select("set_id").distinct().join(classes.select("set_id", "first"), "set_id"), width))
     fetched = needed.join(arrays, "set_id").select(F.col("group").alias("of"), "set_id", "data")
