@@ -114,15 +114,26 @@ def _mixture(likelihood: np.ndarray, first: np.ndarray, owner: np.ndarray, start
 
 
 def infer(texts: Sequence[str | None], model: Model, rounds: int = ROUNDS) -> np.ndarray:
-    """Proportions of the languages (texts x languages); all 0 for a text without letters.
+    """Proportions of the languages (texts x languages); all 0 for a text without letters."""
+    return infer_with_evidence(texts, model, rounds)[0]
+
+
+def infer_with_evidence(texts: Sequence[str | None], model: Model, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions as ``infer`` gives them, and how much better the chosen set explains a text than chance.
+
+    That is the mean over its trigrams of the log of their likelihood in the
+    chosen mixture over that of a background in which all slots are equally
+    likely; 0 for a text without letters. Letters in no learned language, or
+    typed at random, meet slots that no language fills and fall below 0; a text
+    in any mixture of the learned languages lies above.
 
     Sets of every size are tried up to the number of languages that a first EM
     gives half a word or more; the penalised likelihood alone chooses.
     """
-    shares = np.zeros((len(texts), len(model.languages)))
+    shares, evidence = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts))
     found, starts, owner = trigrams(texts, len(model.log_probability))
     if len(found) == 0 or not model.languages:
-        return shares
+        return shares, evidence
     logs = np.add.reduceat(model.log_probability[found], starts, axis=0).astype(np.float64)
     likelihood = np.exp(np.maximum(logs - logs.max(axis=1, keepdims=True), -60.0))
     first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
@@ -141,22 +152,28 @@ def infer(texts: Sequence[str | None], model: Model, rounds: int = ROUNDS) -> np
         best = np.where(better, value, best)
         best_share = np.where(better[:, None], part, best_share)
     shares[owner[first]] = best_share
-    return shares
+    explained = np.log(np.maximum((best_share[local] * likelihood).sum(axis=1), 1e-300)) + logs.max(axis=1)
+    n_trigrams = np.add.reduceat(np.diff(np.append(starts, len(found))), first)
+    evidence[owner[first]] = np.add.reduceat(explained, first) / n_trigrams + np.log(len(model.log_probability))
+    return shares, evidence
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id column, lang_pred, score and langs, the chosen set with its proportions.
+    """Per row: the id column, lang_pred, score, langs (the chosen set with its proportions) and evidence.
 
     ``lang_pred`` is the language with the largest proportion (the first by name
     in a tie) and ``score`` that proportion; ``und`` and 0 for a null text, one
-    without letters, or if nothing was learned. Rows that repeat are judged
+    without letters, or if nothing was learned. ``evidence`` is the mean log
+    ratio per trigram to a uniform background: not above 0 for a text that the
+    learned languages do not explain. A long text is read whole; memory holds
+    one at a time. Rows that repeat are judged
     each; other columns are not read; no rows give no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*model.languages, UNKNOWN])
         for batch in chunks(batches, size=CHUNK):
-            shares = infer(batch.column("text").to_pylist(), model)
+            shares, evidence = infer_with_evidence(batch.column("text").to_pylist(), model)
             padded = np.column_stack([shares, np.zeros(len(shares))])
             known = padded.sum(axis=1) > 0
             top = np.where(known, padded.argmax(axis=1), len(names) - 1)
@@ -167,10 +184,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                     pa.array(names[top].tolist(), pa.string()),
                     pa.array(np.clip(padded.max(axis=1), 0.0, 1.0)),
                     pa.array([list(s.items()) for s in sets], pa.map_(pa.string(), pa.float64())),
+                    pa.array(evidence),
                 ],
-                names=[id_col, "lang_pred", "score", "langs"],
+                names=[id_col, "lang_pred", "score", "langs", "evidence"],
             )
 
     rows = id_and_text(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, langs map<string,double>")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double, langs map<string,double>, evidence double")
