@@ -157,9 +157,26 @@ def test_top_k(spark):
 
 
 def test_pipeline_stages(spark, docs, labels, tmp_path):
+    """What each stage keeps of the odd rows, given all of them."""
     labels.write.parquet(f"{tmp_path}/labels.parquet")
-    for name, stage in corpus_pipeline.STAGES:
-        for given in (docs, docs.limit(0)):
-            out = stage(spark, given, str(tmp_path))
-            assert name == "packing" or out.columns == list(corpus_pipeline.COLUMNS)
-            assert out.count() >= 0
+    stages = dict(corpus_pipeline.STAGES)
+    kept = {}
+    for name, stage in stages.items():
+        out = stage(spark, docs, str(tmp_path))
+        empty = stage(spark, docs.limit(0), str(tmp_path))
+        assert empty.columns == out.columns and empty.count() == 0
+        assert name == "packing" or out.columns == list(corpus_pipeline.COLUMNS)
+        kept[name] = out.collect()
+    ids = {name: sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) for name, rows in kept.items()}
+    assert not {0, 1, 2, 7} & set(ids["language_id"])  # null, empty or without letters
+    assert 3 in ids["language_id"]  # its trigrams are nearly all that was learned
+    short = stages["language_id"](spark, docs.where("doc_id <> 3"), str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in short) == [4, 4, 5]
+    assert not {0, 1, 2, 6, 7} & set(ids["quality_rules"])  # too few words
+    assert ids["line_dedup"] == [0, 1, 2, 3, 4, 4, 6, 7]  # 5 is left without a word
+    assert len(kept["line_dedup"]) == 9  # the row without an id stays
+    assert ids["jaccard_join"] == [0, 1, 2, 3, 4, 4, 6, 7] and len(kept["jaccard_join"]) == 8
+    texts = {r["doc_id"]: r["text"] for r in kept["jaccard_join"]}
+    assert all(texts[k] == TEXTS[k] for k in texts)
+    assert {r["doc_id"] for r in kept["packing"]} == {None, *TEXTS}
+    assert all(len(r["ids"]) == 4 * r["length"] for r in kept["packing"])

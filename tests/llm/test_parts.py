@@ -241,3 +241,30 @@ def test_every_link_is_counted(spark, monkeypatch, tile_rows, block_rows):
     assert expected[5] >= 20
     alone = jaccard.near_duplicates(docs, count_links=False)
     assert {(r["doc_id"], r["component_id"]) for r in rows} == {(r["doc_id"], r["component_id"]) for r in alone.collect()}
+
+
+def test_jaccard_groups_split_stars(spark):
+    """A set with thousands of partners is dealt over many groups, and no pair is lost."""
+    star = [(k, 10_000, 1) for k in range(5_000)] + [(k, k + 1, 2) for k in range(20_000, 21_000)] + [(30_000, 30_001, 3)]
+    pairs = spark.createDataFrame(star, "a long, b long, root long")
+    rows = jaccard._groups(pairs, rows=100).collect()
+    assert sorted((r["a"], r["b"]) for r in rows) == sorted((a, b) for a, b, _ in star)
+    sizes = {}
+    for r in rows:
+        sizes[r["group"]] = sizes.get(r["group"], 0) + 1
+    assert max(sizes.values()) <= 300
+
+
+def test_language_evidence():
+    """Texts in any mixture of learned languages are explained; letters at random and unknown alphabets are not."""
+    rng = np.random.default_rng(5)
+    speak = lambda letters, n: " ".join("".join(rng.choice(list(letters), 3)) for _ in range(n))
+    counts = np.full((language.SLOTS, 3), language.SMOOTHING)
+    for k, letters in enumerate(("abc", "def", "ghi")):
+        np.add.at(counts[:, k], language.trigrams([speak(letters, 3000)], language.SLOTS)[0], 1)
+    model = language.Model(["a", "d", "g"], np.log(counts / counts.sum(axis=0)).astype(np.float32))
+    texts = [speak("abc", 40), " ".join(speak(x, 30) for x in ("abc", "def", "ghi")), speak("klmnopqrstuvwxyz", 60), "привет мир и люди", "", None]
+    shares, evidence = language.infer_with_evidence(texts, model)
+    assert evidence[0] > 0 and evidence[1] > 0 and evidence[2] < 0 and evidence[3] < 0
+    assert evidence[4] == evidence[5] == 0
+    assert (shares[1] > 0.2).all()  # three even languages
