@@ -14,28 +14,31 @@ from crystalflow.llm import jaccard, language, line_dedup, packing, rules
 from crystalflow.operators.scratch import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-LEAST_SHARE = 0.4
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose ids are in ``kept``; rows that repeat stay repeated."""
-    return docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+def _carried(docs: DataFrame) -> DataFrame:
+    """The rows with all their columns as ``row``, to go through an operator as its id.
+
+    A row is judged by its own text and needs no join: null ids and rows that
+    repeat an id are rows as any other.
+    """
+    return docs.select(F.struct(*COLUMNS).alias("row"), "text")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in which one learned language has at least two fifths of the words.
+    """Keep documents that the learned languages, one or a mixture, explain better than a uniform background does.
 
-    Texts that are null or without letters go, and so do null ids. The model
-    learns from the documents' own non-null ``lang``.
+    Texts that are null or without letters go. The model learns from the
+    documents' own non-null ``lang``.
     """
-    found = language.identify(docs, language.fit(docs))
-    return _only(docs, found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)))
+    found = language.identify(_carried(docs), language.fit(docs), "row")
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("evidence") > 0)).select("row.*")
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that pass the base counts and the likelihood ratio; the trusted ones come from ``labels``."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    return _only(docs, rules.judge(docs, rules.fit(docs, labels)).where("kept"))
+    return rules.judge(_carried(docs), rules.fit(docs, labels), "row").where("kept").select("row.*")
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,16 +54,21 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, keep the document with the lowest id; texts without words all stay."""
-    found = jaccard.near_duplicates(docs, count_links=False)
-    return _only(docs, found.where("doc_id = component_id"))
+    """Of each group of near duplicates, keep the document with the lowest id; texts without words all stay.
+
+    Rows without an id go here, as nothing could name them; rows that repeat a kept id stay.
+    """
+    found = jaccard.near_duplicates(docs, count_links=False).where("doc_id = component_id")
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens as power-of-two pieces with their sequences."""
-    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    packed = packing.pack(docs, tokenizer, keep={"ids_crc32": F.crc32("ids")})
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    """The documents' tokens as power-of-two pieces with their sequences.
+
+    ``ids`` holds a piece's tokens as little-endian unsigned 32-bit values.
+    """
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [
