@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
-from crystalflow.operators import frames, quality, scratch, selection
+from crystalflow.operators import frames, prefilter, quality, scratch, selection
 from crystalflow.operators.skew import join_per_key
 from crystalflow.plans import common
 
@@ -31,7 +31,9 @@ def site_arrays(atoms: DataFrame, structures: DataFrame | None = None) -> DataFr
     first, so that no single task collects and sorts them one by one.
     """
     if structures is not None:
-        wanted = structures.select(F.col("id").alias("structure_id")).distinct()
+        wanted = scratch.materialise(structures.select(F.col("id").alias("structure_id")).distinct())
+        # atoms of other structures go where they are read
+        atoms = prefilter.likely(atoms, ["structure_id"], wanted)
         atoms = join_per_key(atoms, wanted, ["structure_id"], "left_semi")
     site = F.struct(
         "id",
@@ -182,6 +184,7 @@ def curate_trajectories(
         identity.alias("identity"),
         "frame.*",
     )
+    both = scratch.materialise(both)  # narrow, and read three times
     structures = tables["structures"]
     needed = both.select(F.col("structure_id").alias("id")).distinct()
     wanted = structures.join(needed, "id", "left_semi")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
 from crystalflow.operators import frames, quality, scratch, selection
 from crystalflow.plans import common
-from crystalflow.sources import documents
+from crystalflow.sources import documents, shredded
 
 SOURCE = "mp"
 #: keys a task's output must have, whatever their value
@@ -32,6 +32,17 @@ def typed_tasks(raw: DataFrame) -> DataFrame:
     return docs.select("doc.*", present.alias("output_keys"))
 
 
+def shredded_materials(spark: SparkSession, path: str) -> DataFrame:
+    """``typed_materials`` of a raw table stored by ``shredded.write_shredded``."""
+    return shredded.read_shredded(spark, path, documents.MATERIAL, S.MATERIAL_DOC)
+
+
+def shredded_tasks(spark: SparkSession, path: str) -> DataFrame:
+    """``typed_tasks`` of a raw table stored by ``shredded.write_shredded``; of the output keys only the required ones are looked for."""
+    read = shredded.read_shredded(spark, path, documents.TASK, S.TASK_DOC, keys_of=(("output",), REQUIRED_OUTPUT))
+    return read.withColumnRenamed("keys", "output_keys")
+
+
 def candidate_tasks(materials: DataFrame, tasks: DataFrame, with_static: bool) -> DataFrame:
     """Narrow rows ``material_id, functional, task_id`` with the selection keys."""
     references = selection.allowed_tasks(

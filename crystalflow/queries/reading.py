@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, text
+from crystalflow.operators import scratch
 from crystalflow.plans import vendor
 from crystalflow.queries import Tables, query, roles
-from crystalflow.sources import documents, links, listing
+from crystalflow.sources import documents, links, listing, shredded
 
 _STAMP = "%Y-%m-%d %H:%M:%S"
 
@@ -325,3 +326,24 @@ def fanout_variant(t: Tables) -> DataFrame:
     return vendor.fan_out(vendor_documents(t)).select(
         "document_id", "functional", F.round("energy", 6).alias("energy")
     )
+
+
+@query(
+    """SELECT 'mp-' || p_partkey AS material_id, p_size AS nelements,
+              CASE WHEN p_size % 5 <> 0 THEN p_name END AS formula_anonymous, p_size % 5 <> 0 AS strict
+    FROM part"""
+)
+def shredded_fields(t: Tables) -> DataFrame:
+    """Parts as material documents, stored as shredded variants; those with a bare NaN stay text."""
+    number = F.when(F.col("p_size") % 5 == 0, F.lit("NaN")).otherwise(F.lit("1.5"))
+    document = F.concat(
+        F.lit('{"material_id": "mp-'), F.col("p_partkey").cast("string"), F.lit('", "nelements": '), F.col("p_size").cast("string"),
+        F.lit(', "volume": '), number, F.when(F.col("p_size") % 5 == 0, F.lit("")).otherwise(F.concat(F.lit(', "formula_anonymous": "'), F.col("p_name"), F.lit('"'))),
+        F.lit("}"),
+    )
+    raw = t.part.select(F.lit(documents.MATERIAL).alias("type"), document.alias("attributes"))
+    path = scratch.new_path(t.spark)
+    shredded.write_shredded(raw, path)
+    fields = T.StructType.fromDDL("material_id string, nelements int, formula_anonymous string, volume double")
+    read = shredded.read_shredded(t.spark, path, documents.MATERIAL, fields)
+    return read.select("material_id", "nelements", "formula_anonymous", (~F.isnan("volume")).alias("strict"))
