@@ -42,6 +42,16 @@ def frequent_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
     return [item["item"] for item in row["top"] or [] if item["count"] >= least]
 
 
+def spread(rows: DataFrame, keys: Sequence[str], per_task: int) -> DataFrame:
+    """``rows`` dealt by ``keys`` over tasks of about ``per_task`` rows, however few or small the files are.
+
+    For rows that later steps make large: Spark sizes its tasks by compressed
+    bytes, which say little about those. Counts the rows, and the partitions
+    are kept as they are by later joins and windows on ``keys``.
+    """
+    return rows.repartition(max(default_segments(rows), -(-rows.count() // per_task)), *keys)
+
+
 def join_per_key(
     rows: DataFrame,
     per_key: DataFrame,

@@ -11,6 +11,9 @@ from crystalflow import schema as S
 from crystalflow.functions import arrays, chem
 from crystalflow.operators import correction, quality
 
+#: documents of a task: their frames take some 30 kB each while they are sorted
+DOCUMENTS_PER_TASK = 8_000
+
 
 @dataclass(frozen=True)
 class Coefficients:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
 from crystalflow.operators import frames, quality, scratch, selection
+from crystalflow.operators.skew import spread
 from crystalflow.plans import common
 from crystalflow.sources import documents, shredded
 
@@ -174,7 +175,8 @@ def curate_trajectories(
     All frames of a trajectory come from one task document, and all tasks of a
     material from one material document, so the windows below hold bounded
     groups. Their keys start with ``task_id``, by which the join has already
-    partitioned the rows: no further exchange of the wide frames is needed.
+    partitioned the rows: no further exchange of the wide frames is needed. The
+    number of partitions follows the number of tasks, not their compressed size.
     """
     ranked = selection.rank_in_group(
         candidate_tasks(license_allows(materials), tasks, with_static=False),
@@ -182,6 +184,7 @@ def curate_trajectories(
         [*selection.task_order(), F.col("task_pos")],
         segments=1,
     ).select("material_id", "functional", "trajectory_number", "task_id")
+    ranked = spread(scratch.materialise(ranked), ["task_id"], common.DOCUMENTS_PER_TASK)
     documents_ = tasks.select(
         "task_id",
         "composition_reduced",
