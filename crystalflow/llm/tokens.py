@@ -4,7 +4,8 @@ A text is cut at its spaces. The word splitters never join characters on both
 sides of a space, but for the space that leads a byte-level word, so a text's
 ids are those of its space-led pieces in a row. The one exception is a space
 between other white space, where runs of white space meet: such texts are cut
-before every run of white space instead. A piece that is not remembered is
+before every run of white space instead. Where white space carries no ids, a
+text is cut at all of it, else a piece is cut at its single line ends. A piece that is not remembered is
 normalised by the file's normaliser, split by the file's pattern and encoded by
 its model; pieces with a special token go through the whole tokenizer.
 """
@@ -43,6 +44,8 @@ WORD_END = Splitter(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_WS}\p{{L}}\p
 RUNS = rf"{_SPACE}*{_OTHER}+|{_SPACE}+"
 ENTANGLED = rf"(?:^|{_SPACE}) (?:{_SPACE}|$)"  # a space whose two sides are white space
 MARKS = frozenset(".,;:!?")
+SIMPLE = "\u0130"  # letters below are in normal form, and have one lower case everywhere
+SEPARATORS = re.compile("[\x1c-\x1f]").search  # white space to Python alone
 
 
 def byte_letters() -> dict[int, str]:
@@ -99,12 +102,13 @@ class WordEncoder:
         self.letters = byte_letters()
         self.words = regex.compile(splitter.words).findall
         self.space = " " if splitter.spaces_count else ""
+        self.spaces_count = splitter.spaces_count
         self.lead = self.letters[32] if splitter.spaces_count else ""
         self.runs = re.compile(RUNS).findall
         self.entangled = re.compile(ENTANGLED).search if splitter.spaces_count else lambda text: None
         me = weakref.ref(self)  # no cycle, so that a task's memory goes with its encoder
         self.led = Known(lambda piece: me()._led(piece), keep)  # pieces, without the space before them
-        self.bare = Known(lambda piece: me()._ids(piece), max(1, keep // 8))  # pieces as they are
+        self.bare = Known(lambda piece: me()._bare(piece), max(1, keep // 8))  # pieces as they are
 
     def _word(self, word: str) -> bytes:
         spelled = word if word.isascii() and word.isalpha() else word.encode().decode("latin-1").translate(self.letters)
@@ -117,6 +121,9 @@ class WordEncoder:
             piece = piece.lower() if piece.isascii() else self.normalize(piece)
         return b"".join(map(self._word, self.words(piece)))
 
+    def _bare(self, piece: str) -> bytes:
+        return self._word(piece) if self.normalize is None and piece.isalpha() else self._ids(piece)
+
     def _led(self, piece: str) -> bytes:
         if piece.isalpha():
             if piece.isascii():
@@ -124,11 +131,19 @@ class WordEncoder:
                 return array("I", [t.id for t in self.model(spelled)]).tobytes()
             if self.normalize is None:
                 return self._word(self.space + piece)
+            if max(piece) < SIMPLE:
+                return self._word(self.space + piece.lower())
         elif piece[-1:] in MARKS and piece[:-1].lower().isalpha():  # a word and one mark: two words to every pattern
             return self.led[piece[:-1]] + self.bare[piece[-1]]
+        elif "\n" in piece:
+            lines = piece.split("\n")
+            if all(line and line == line.strip() for line in lines):  # every line end stands alone
+                return self.led[lines[0]] + b"".join(self.bare["\n"] + self.bare[line] for line in lines[1:])
         return self._ids(self.space + piece)
 
     def _text(self, text: str) -> bytes:
+        if not self.spaces_count and not SEPARATORS(text):
+            return b"".join(map(self.led.__getitem__, text.split()))
         if self.entangled(text):
             return b"".join(map(self.bare.__getitem__, self.runs(text)))
         pieces = text.split(" ")
