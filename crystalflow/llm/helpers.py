@@ -72,14 +72,21 @@ def running_totals(
     order: Sequence[Column],
     totals: Mapping[str, Column],
     rows_per_block: int = ROWS_PER_BLOCK,
+    aside: Sequence[str] = (),
 ) -> DataFrame:
     """``df`` with, for each of ``totals``, its sum over all rows that come before in ``order``.
 
     Rows are cut by range into blocks of about ``rows_per_block``; windows run
     inside blocks, and a window over one row per block carries the bases. For
-    narrow rows: they are written twice. Rows that tie in ``order`` come in any
-    order, and share a block however many they are.
+    narrow rows: they are written twice. Wide columns named in ``aside`` are
+    written once, and wait there for the totals of their row. Rows that tie in
+    ``order`` come in any order, and share a block however many they are.
     """
+    if aside:
+        # numbers that are written with the rows, so both readers see the same
+        kept = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
+        counted = running_totals(kept.drop(*aside), order, totals, rows_per_block)
+        return kept.select("_row", *aside).join(counted, "_row").select(*df.columns, *totals)
     kept = materialise(df)
     blocks = max(1, math.ceil(kept.count() / rows_per_block))
     ranged = materialise(kept.repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id()))

@@ -12,6 +12,7 @@ from collections.abc import Iterator, Mapping
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 from crystalflow.llm.helpers import chunks, id_and_text, running_totals
 from crystalflow.llm.tokens import BYTE_LEVEL, Splitter, WordEncoder
@@ -76,14 +77,15 @@ def pack(
 
     Sequences are numbered from 0 without gaps, longest bucket first and by
     document within a bucket, whatever the partitioning. ``keep`` names what to
-    keep of each piece's ``ids``: the ids themselves unless given. No rows give
-    no rows.
+    keep of each piece's ``ids``: the ids themselves unless given. Binary values,
+    strings and arrays do not travel with the numbering. No rows give no rows.
     """
     pieces = split_pieces(docs, tokenizer, id_col, text_col, longest, end_id, splitter)
     keep = {"ids": F.col("ids")} if keep is None else keep
     pieces = pieces.select(id_col, "start", "length", *[c.alias(n) for n, c in keep.items()], "doc_tokens")
     order = [F.col("length").desc(), F.col(id_col), F.col("start")]
-    numbered = running_totals(pieces, order, {"sequence_id": F.lit(1).cast("long")})
+    wide = [f.name for f in pieces.schema.fields if f.name in keep and isinstance(f.dataType, (BinaryType, StringType, ArrayType))]
+    numbered = running_totals(pieces, order, {"sequence_id": F.lit(1).cast("long")}, aside=wide)
     return numbered.withColumns(
         {"offset": F.lit(0).cast("long"), "bucket": F.log2(F.col("length")).cast("int")}
     )
