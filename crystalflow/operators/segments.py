@@ -280,12 +280,15 @@ def running_sum(
     order: Sequence[str | Column],
     values: Mapping[str, Column],
     segments: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add, per output name, the running sum of its column within the key.
 
     The sum includes the current row. ``keys=[]`` runs over the whole table.
+    ``keep`` names the columns of the result, by default all; the keys are
+    among them. Others are neither written nor joined.
     """
-    columns = df.columns
+    columns = df.columns if keep is None else list(keep)
     parts = {name: f"_value_{name}" for name in values}
     tagged, several = _split(df, order, segments)
     cut = tagged.select("*", *[value.alias(parts[name]) for name, value in values.items()])
@@ -325,9 +328,10 @@ def position(
     order: Sequence[str | Column],
     name: str,
     segments: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add the 0-based position of each row within its key."""
-    counted = running_sum(df, keys, order, {name: F.lit(1).cast("bigint")}, segments)
+    """Add the 0-based position of each row within its key, to the columns ``keep`` (default all)."""
+    counted = running_sum(df, keys, order, {name: F.lit(1).cast("bigint")}, segments, keep)
     return counted.withColumn(name, F.col(name) - 1)
 
 

@@ -104,11 +104,13 @@ def rank_in_group(
     order: Sequence[str | Column],
     name: str = "trajectory_number",
     segments: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Keep every row and add its 0-based rank within the group."""
+    """Keep every row and add its 0-based rank within the group; of the columns, those in ``keep`` (default all)."""
     helper = [f"_order_{i}" for i in range(len(order))]
-    keyed = df.select("*", *[(F.col(o) if isinstance(o, str) else o).alias(h) for o, h in zip(order, helper)])
-    return seg.position(keyed, keys, helper, name, segments).drop(*helper)
+    columns = df.columns if keep is None else list(keep)
+    computed = [(F.col(o) if isinstance(o, str) else o).alias(h) for o, h in zip(order, helper)]
+    return seg.position(df.select(*columns, *computed), keys, helper, name, segments, columns)
 
 
 def label_rank(label: str, labels: Sequence[str]) -> Column:

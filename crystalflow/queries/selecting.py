@@ -69,6 +69,7 @@ def rank_tasks(t: Tables) -> DataFrame:
         _functional_tasks(t).where(F.col("functional").isNotNull()),
         ["material_id", "functional"],
         [*selection.task_order(), *[F.col(c) for c in roles.LINE_ORDER]],
+        keep=["material_id", "functional", "task_id"],
     )
     return ranked.select("material_id", "functional", "task_id", "trajectory_number")
 
