@@ -143,7 +143,8 @@ stepped AS (
     FROM stepped"""
 )
 def cumulative_steps(t: Tables) -> DataFrame:
-    stepped = frames.cumulative_steps(roles.calculations(t), ["entry_id"], roles.LINE_ORDER)
+    narrow = roles.calculations(t).select("entry_id", *roles.LINE_ORDER, "nsteps")  # all of it is written and joined
+    stepped = frames.cumulative_steps(narrow, ["entry_id"], roles.LINE_ORDER).drop("nsteps")
     named = frames.last_value(stepped, ["entry_id"], roles.LINE_ORDER, "l_suppkey", "last_output")
     return named.select(
         "entry_id",
