@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 from crystalflow.llm.helpers import chunks, id_and_text, running_totals
-from crystalflow.llm.tokens import BYTE_LEVEL, Splitter, WordEncoder
+from crystalflow.llm.tokens import BYTE_LEVEL, Splitter, worker_encoder
 
 SEQUENCE = 1024
 PIECE = "start long, length long, doc_tokens long, ids binary"
@@ -47,7 +47,7 @@ def split_pieces(
     end = np.array([end_id], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, splitter)
+        encoder = worker_encoder(tokenizer, splitter)
         for batch in chunks(batches):
             source, start, length, total, ids = [], [], [], [], []
             for row, encoded in enumerate(encoder.encode(batch.column("text").to_pylist())):

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from crystalflow.llm.helpers import chunks, id_and_text
-from crystalflow.llm.tokens import Splitter, WordEncoder
+from crystalflow.llm.tokens import Splitter, worker_encoder
 
 MANIFEST = "part int, n_docs long, n_tokens long, width int"
 FLUSH_BYTES = 1 << 23
@@ -96,7 +96,7 @@ def write_tokens(
         task, out, encoder = TaskContext.get(), None, None
         for batch in chunks(batches):
             if out is None:
-                encoder = WordEncoder(tokenizer, splitter)
+                encoder = worker_encoder(tokenizer, splitter)
                 out = _Writer(folder, task.partitionId(), task.taskAttemptId(), width)
             out.add(batch.column("id").to_pylist(), [e + end for e in encoder.encode(batch.column("text").to_pylist())])
         if out is not None:

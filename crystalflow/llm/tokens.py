@@ -1,22 +1,24 @@
-"""Encoding whole texts with a tokenizers file, each distinct word about once per task.
+"""Encoding whole texts with a tokenizers file, each distinct word about once per Python worker.
 
 A text is cut at its spaces. The word splitters never join characters on both
 sides of a space, but for the space that leads a byte-level word, so a text's
 ids are those of its space-led pieces in a row. The one exception is a space
 between other white space, where runs of white space meet: such texts are cut
 before every run of white space instead. Where white space carries no ids, a
-text is cut at all of it, else a piece is cut at its single line ends. A piece that is not remembered is
-normalised by the file's normaliser, split by the file's pattern and encoded by
-its model; pieces with a special token go through the whole tokenizer.
+text is cut at all of it, else also before its line ends if all of them stand
+alone. A piece that is not remembered is normalised by the file's normaliser,
+split by the file's pattern and encoded by its model; pieces with a special token go through the whole tokenizer.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import weakref
 from array import array
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import regex
 
@@ -24,7 +26,7 @@ import regex
 _SPACE, _OTHER = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
 _WS = r"\t-\r\x85\p{Z}"
 
-RUNS_KEPT = 200_000  # of each of two generations; some 80 MB in all
+RUNS_KEPT = 500_000  # of each of two generations; some 200 MB in all
 
 
 @dataclass(frozen=True)
@@ -42,7 +44,9 @@ BYTE_LEVEL = Splitter(
 WORD_END = Splitter(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_WS}\p{{L}}\p{{N}}]+", False)
 
 RUNS = rf"{_SPACE}*{_OTHER}+|{_SPACE}+"
-ENTANGLED = rf"(?:^|{_SPACE}) (?:{_SPACE}|$)"  # a space whose two sides are white space
+# the character itself comes first, so that a search skips to the next one of it
+ENTANGLED = rf" (?!{_OTHER})(?<!{_OTHER} )"  # a space whose two sides are white space
+CROWDED = rf"\n(?:(?!{_OTHER})|(?<!{_OTHER}\n))"  # a line end with white space on a side
 MARKS = frozenset(".,;:!?")
 SIMPLE = "\u0130"  # letters below are in normal form, and have one lower case everywhere
 SEPARATORS = re.compile("[\x1c-\x1f]").search  # white space to Python alone
@@ -106,6 +110,7 @@ class WordEncoder:
         self.lead = self.letters[32] if splitter.spaces_count else ""
         self.runs = re.compile(RUNS).findall
         self.entangled = re.compile(ENTANGLED).search if splitter.spaces_count else lambda text: None
+        self.crowded = re.compile(CROWDED).search
         me = weakref.ref(self)  # no cycle, so that a task's memory goes with its encoder
         self.led = Known(lambda piece: me()._led(piece), keep)  # pieces, without the space before them
         self.bare = Known(lambda piece: me()._bare(piece), max(1, keep // 8))  # pieces as they are
@@ -122,7 +127,12 @@ class WordEncoder:
         return b"".join(map(self._word, self.words(piece)))
 
     def _bare(self, piece: str) -> bytes:
-        return self._word(piece) if self.normalize is None and piece.isalpha() else self._ids(piece)
+        if self.normalize is None:
+            if piece.isalpha():
+                return self._word(piece)
+            if piece[-1:] in MARKS and piece[:-1].isalpha():
+                return self._word(piece[:-1]) + self.bare[piece[-1]]
+        return self._ids(piece)
 
     def _led(self, piece: str) -> bytes:
         if piece.isalpha():
@@ -135,6 +145,8 @@ class WordEncoder:
                 return self._word(self.space + piece.lower())
         elif piece[-1:] in MARKS and piece[:-1].lower().isalpha():  # a word and one mark: two words to every pattern
             return self.led[piece[:-1]] + self.bare[piece[-1]]
+        elif piece[:1] == "\n":  # never led by a space, see _text
+            return self.bare["\n"] + self._bare(piece[1:])
         elif "\n" in piece:
             lines = piece.split("\n")
             if all(line and line == line.strip() for line in lines):  # every line end stands alone
@@ -146,6 +158,13 @@ class WordEncoder:
             return b"".join(map(self.led.__getitem__, text.split()))
         if self.entangled(text):
             return b"".join(map(self.bare.__getitem__, self.runs(text)))
+        if "\n" in text:
+            if not self.crowded(text):
+                text = text.replace("\n", " \n")
+            elif " \n" in text:
+                pieces = text.split(" ")
+                led = [self.bare[" " + p] if p[:1] == "\n" else self.led[p] for p in pieces[1:]]
+                return self.bare[pieces[0]] + b"".join(led)
         pieces = text.split(" ")
         return self.bare[pieces[0]] + b"".join(map(self.led.__getitem__, pieces[1:]))
 
@@ -154,6 +173,20 @@ class WordEncoder:
         return [self._text(t) if t else b"" for t in texts]
 
 
+@lru_cache(maxsize=1)
+def _kept(path: str, splitter: Splitter, written: tuple[int, int]) -> WordEncoder:
+    return WordEncoder(path, splitter)
+
+
+def worker_encoder(path: str, splitter: Splitter) -> WordEncoder:
+    """The encoder of this Python worker, with the words that its earlier tasks met.
+
+    A worker keeps the encoder it used last, for the file as it stands now.
+    """
+    file = os.stat(path)
+    return _kept(path, splitter, (file.st_mtime_ns, file.st_size))
+
+
 def specials(texts: Iterable[str]):
     """A search for any of the special tokens' texts."""
     return re.compile("|".join(map(re.escape, texts)) or r"(?!)").search

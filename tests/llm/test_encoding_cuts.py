@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+import shutil
 
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from crystalflow.llm import helpers, packing
+from crystalflow.llm import helpers, packing, tokens
 from crystalflow.llm.tokens import BYTE_LEVEL, WORD_END, WordEncoder, packed
 
 PARTS = [
@@ -37,6 +38,28 @@ def test_words_on_both_sides_of_a_line_end_are_encoded_once(name, splitter):
     assert len(computed) <= 1
 
 
+def test_later_tasks_of_a_worker_know_the_words(tmp_path):
+    """op1_packing: every task read the file and encoded all words anew, which was most of its CPU time."""
+    path = str(tmp_path / "tokenizer.json")
+    shutil.copy(public_tokenizers.path("byte_bpe_50k.json"), path)
+    first = tokens.worker_encoder(path, BYTE_LEVEL)
+    ids = first.encode(["some words here"])
+    later, computed = tokens.worker_encoder(path, BYTE_LEVEL), []
+    later.model = computed.append
+    assert later.encode(["some words here"]) == ids and not computed
+    shutil.copy(public_tokenizers.path("byte_bpe_50k.json"), path)  # a new file is a new encoder
+    assert tokens.worker_encoder(path, BYTE_LEVEL) is not later
+
+
+def test_a_word_is_encoded_once_before_any_line_start():
+    """op1_packing: words on two sides of a line end were one piece, looked up and cut for every pair."""
+    encoder = WordEncoder(public_tokenizers.path("byte_bpe_50k.json"), BYTE_LEVEL)
+    words = ["alpha.", "beta,", "gamma", "Delta", "é"]
+    texts = [f"x {a}\n{b}" for a in words for b in words] + ["x alpha. \nbeta, \n gamma\n\nDelta"]
+    assert encoder.encode(texts) == [packed(encoder.tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert len(encoder.led) < 20
+
+
 def test_numbering_does_not_carry_wide_columns(spark, monkeypatch):
     written = []
     kept = helpers.materialise
