@@ -13,6 +13,8 @@ from crystalflow.plans import common
 SOURCE = "oqmd"
 FUNCTIONAL = "pbe"
 _ATOM_PARTS = 8
+_LATTICE = [f"{axis}{row}" for row in (1, 2, 3) for axis in "xyz"]
+_PER_STRUCTURE = ["cartesian_site_positions", "stress_tensor"]  # the other columns are cheap
 
 
 def label_calculations(calculations: DataFrame, labels: list[str]) -> DataFrame:
@@ -45,7 +47,7 @@ def site_arrays(atoms: DataFrame, structures: DataFrame | None = None) -> DataFr
     parts = atoms.groupBy("structure_id", F.pmod(F.xxhash64("id"), F.lit(_ATOM_PARTS)).alias("part")).agg(
         F.collect_list(site).alias("sites")
     )
-    grouped = parts.groupBy("structure_id").agg(F.array_sort(F.flatten(F.collect_list("sites"))).alias("sites"))
+    grouped = parts.groupBy("structure_id").agg(F.sort_array(F.flatten(F.collect_list("sites"))).alias("sites"))
     part = lambda name: F.transform("sites", lambda s: s[name])
     return grouped.select(
         "structure_id",
@@ -193,14 +195,21 @@ def curate_trajectories(
         .withColumnRenamed("id", "structure_id")
         .join(site_arrays(tables["atoms"], wanted), "structure_id", "left")
     )
-    joined = join_per_key(both, described, ["structure_id"], "left")
+    # what is dear is derived once per structure, before its frames
+    once = {**common.chemistry_of_sites(), **{c: _structure_columns()[c] for c in _PER_STRUCTURE}}
+    del once["nelements"]
+    composed = common.with_compositions(described, F.col("species_at_sites")).select(
+        "structure_id", "energy", "magmom", *_LATTICE, "species_at_sites", "forces", "charges",
+        *[c.cast(S.FRAME[name].dataType).alias(name) for name, c in once.items()],
+    )
+    joined = join_per_key(both, composed, ["structure_id"], "left")
 
-    derived = common.chemistry_of_sites()
     spin = text.spin_polarised(F.col("settings"))
-    allowed = F.coalesce(chem.cross_compatible(derived["elements"], SOURCE), F.lit(False))
+    allowed = F.coalesce(chem.cross_compatible(F.col("elements"), SOURCE), F.lit(False))
     columns = {
-        **derived,
-        **_structure_columns(),
+        **{name: c for name, c in _structure_columns().items() if name not in once},
+        **{name: F.col(name) for name in once},
+        "nelements": F.size("elements"),
         "nsites": F.size("species_at_sites"),
         "energy": F.when(F.col("is_output"), F.col("calc_energy")).otherwise(F.col("energy")),
         "immutable_id": F.col("identity"),
@@ -210,8 +219,7 @@ def curate_trajectories(
         "relaxation_number": F.col("relaxation_number"),
         "relaxation_step": F.col("step"),
     }
-    composed = common.with_compositions(joined, F.col("species_at_sites"))
-    rows = common.fill(composed, columns, S.FRAME, keep=("entry_id", "is_output"))
+    rows = common.fill(joined, columns, S.FRAME, keep=("entry_id", "is_output"))
     classified = quality.widen_to_document(
         quality.classify(rows, frames=True), ["entry_id"], bounded=True
     )
