@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
@@ -13,6 +13,7 @@ from crystalflow.plans import common
 SOURCE = "oqmd"
 FUNCTIONAL = "pbe"
 _ATOM_PARTS = 8
+_ORDERED = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _LATTICE = [f"{axis}{row}" for row in (1, 2, 3) for axis in "xyz"]
 _PER_STRUCTURE = ["cartesian_site_positions", "stress_tensor"]  # the other columns are cheap
 
@@ -115,40 +116,64 @@ def curate_structures(
     return common.structures_checked(common.own_correction(rows, coefficients), document=None)
 
 
-def faulty_entries(labelled: DataFrame) -> DataFrame:
-    """Entries no trajectory can be made of.
+def relaxations(entries: DataFrame, calculations: DataFrame) -> DataFrame:
+    """Usable relaxation calculations, numbered per entry.
 
-    A label repeats, a structure reference is missing, or several calculations
-    end with one that has not converged. Counted per (entry, label) first, so
-    the second step sees at most one row per label.
+    An entry goes as a whole if no trajectory can be made of it: a label
+    repeats, a structure reference is missing, or several calculations end with
+    one that has not converged. What is left has at most one row per label, so
+    one aggregate, merged before the shuffle, holds an entry's calculations side
+    by side however many there were.
     """
+    labelled = label_calculations(calculations, S.RELAXATION_LABELS)
+    labels = dict(enumerate(S.RELAXATION_LABELS, start=1))
+    carried = [f for f in labelled.schema.fields if f.name not in ("entry_id", "label", "label_no")]
+
+    def value(no: int, field: T.StructField) -> Column:
+        # the label's only value, where it counts; maximum needs the smaller buffer
+        only = F.when(F.col("label_no") == no, F.col(field.name))
+        return F.max(only) if isinstance(field.dataType, _ORDERED) else F.first(only, ignorenulls=True)
+
     missing = F.col("input_id").isNull() | F.col("output_id").isNull()
-    per_label = labelled.groupBy("entry_id", "label_no").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(missing).alias("missing"),
-        F.min(F.coalesce("converged", F.lit(False))).alias("converged"),
+    side_by_side = labelled.groupBy("entry_id").agg(
+        F.max(missing).alias("_missing"),
+        *[F.count_if(F.col("label_no") == no).alias(f"_n_{no}") for no in labels],
+        *[value(no, f).alias(f"_{no}_{f.name}") for no in labels for f in carried],
     )
-    last_converged = F.max_by("converged", "label_no")
-    bad = (F.max("n") > 1) | F.max("missing") | ((F.count(F.lit(1)) > 1) & ~last_converged)
-    return per_label.groupBy("entry_id").agg(bad.alias("bad")).where("bad").drop("bad")
+    there = {no: F.col(f"_n_{no}") > 0 for no in labels}
+    before = {no: sum((there[k].cast("int") for k in labels if k < no), F.lit(0)) for no in labels}
 
+    def last(name: str) -> Column:
+        return F.coalesce(*[F.when(there[no], F.col(f"_{no}_{name}")) for no in reversed(labels)])
 
-def relaxations(entries: DataFrame, calculations: DataFrame) -> DataFrame:
-    """Usable relaxation calculations, numbered per entry.
+    def of_label(per_label: dict[int, Column]) -> Column:
+        chosen = F
+        for no, column in per_label.items():
+            chosen = chosen.when(F.col("label_no") == no, column)
+        return chosen
 
-    Faulty entries go as a whole. What is left has at most one row per label,
-    so the windows over an entry hold at most three rows.
-    """
-    labelled = label_calculations(calculations, S.RELAXATION_LABELS).join(
+    def steps_up_to(no: int) -> Column:
+        taken = [F.col(f"_{k}_nsteps").cast("bigint") for k in labels if k <= no]
+        return F.when(F.coalesce(*taken).isNotNull(), sum((F.coalesce(t, F.lit(0)) for t in taken), F.lit(0)))
+
+    several = sum((n.cast("int") for n in there.values()), F.lit(0)) > 1
+    repeated = F.greatest(*[F.col(f"_n_{no}") for no in labels]) > 1
+    final = F.coalesce(*[F.when(there[no], F.coalesce(f"_{no}_converged", F.lit(False))) for no in reversed(labels)])
+    usable = side_by_side.where(~repeated & ~F.col("_missing") & ~(several & ~final)).join(
         entries.select(F.col("id").alias("entry_id")), "entry_id", "left_semi"
     )
-    usable = join_per_key(labelled, faulty_entries(labelled), ["entry_id"], "left_anti")
-    numbered = selection.rank_in_group(
-        usable, ["entry_id"], ["label_no"], "relaxation_number", segments=1
-    )
-    stepped = frames.cumulative_steps(numbered, ["entry_id"], ["label_no"], segments=1)
-    return frames.last_value(
-        stepped, ["entry_id"], ["label_no"], "output_id", "last_output_id", bounded=True
+    present = F.array_compact(F.array(*[F.when(there[no], F.lit(no).cast("bigint")) for no in labels]))
+    rows = usable.withColumn("label_no", F.explode(present))
+    columns = {
+        f.name: of_label({no: F.col(f"_{no}_{f.name}") for no in labels}) for f in carried
+    } | {"label": of_label({no: F.lit(label) for no, label in labels.items()})}
+    return rows.select(
+        "entry_id",
+        *[columns[c].alias(c) for c in labelled.columns if c in columns],
+        "label_no",
+        of_label(before).cast("bigint").alias("relaxation_number"),
+        of_label({no: steps_up_to(no) for no in labels}).alias("output_step"),
+        last("output_id").alias("last_output_id"),
     )
 
 
