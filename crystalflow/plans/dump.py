@@ -7,12 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from crystalflow import schema as S
 from crystalflow.functions import arrays, chem, text
 from crystalflow.operators import frames, prefilter, quality, scratch, selection
-from crystalflow.operators.skew import join_per_key
+from crystalflow.operators.skew import join_per_key, spread
 from crystalflow.plans import common
 
 SOURCE = "oqmd"
 FUNCTIONAL = "pbe"
 _ATOM_PARTS = 8
+#: calculations of a task: they take some 200 bytes each while they are merged
+CALCULATIONS_PER_TASK = 500_000
 _ORDERED = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 _LATTICE = [f"{axis}{row}" for row in (1, 2, 3) for axis in "xyz"]
 _PER_STRUCTURE = ["cartesian_site_positions", "stress_tensor"]  # the other columns are cheap
@@ -122,10 +124,12 @@ def relaxations(entries: DataFrame, calculations: DataFrame) -> DataFrame:
     An entry goes as a whole if no trajectory can be made of it: a label
     repeats, a structure reference is missing, or several calculations end with
     one that has not converged. What is left has at most one row per label, so
-    one aggregate, merged before the shuffle, holds an entry's calculations side
-    by side however many there were.
+    one aggregate, merged before its shuffle, holds an entry's calculations side
+    by side however many there were. Rows are dealt by number first, as few
+    bytes of a file may hold many.
     """
     labelled = label_calculations(calculations, S.RELAXATION_LABELS)
+    labelled = spread(labelled, ["entry_id", "input_id", "output_id"], CALCULATIONS_PER_TASK)
     labels = dict(enumerate(S.RELAXATION_LABELS, start=1))
     carried = [f for f in labelled.schema.fields if f.name not in ("entry_id", "label", "label_no")]
 

@@ -468,6 +468,7 @@ def test_dump_relaxations_are_one_aggregate(spark):
     ]
     plan = usable._jdf.queryExecution().optimizedPlan().toString()
     assert (plan.count("Aggregate"), plan.count("Join"), plan.count("Window")) == (1, 1, 0)
+    assert plan.count("RepartitionByExpression") == 1  # by number of rows, under the aggregate
 
 
 def test_vendor_fan_out_keeps_one_row_without_scan(spark):
